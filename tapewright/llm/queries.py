@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .piece_codec import encode_decode
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
 
 
+def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_hex(listed).alias("ids_sha256"), sha256_hex(F.col("decoded")).alias("decoded_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -24,6 +33,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_piece_codec": op3_piece_codec,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }

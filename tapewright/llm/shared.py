@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +72,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def slices(batch: pa.RecordBatch, text_at: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that a piece's texts hold at most so many bytes, or one text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def ensure_path(path: str) -> str:
     os.makedirs(path, exist_ok=True)
     return path

@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .line_dedup import dedup_lines
 from .piece_codec import encode_decode
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,9 +39,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_piece_codec": op3_piece_codec,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }
 
-LLM_SQL: dict[str, str] = {}
+_OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, l.n, l.line, translate(regexp_replace(l.line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x, i: {'n': i, 'line': x})) AS l FROM documents)
+), firsts AS (
+  SELECT k, min(doc_id) AS first FROM lines WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+  SELECT l.doc_id, l.n, l.line, f.k IS NOT NULL AND l.doc_id > f.first AS gone FROM lines l LEFT JOIN firsts f ON l.k = f.k
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+LLM_SQL: dict[str, str] = {
+    "op1_line_dedup": _OP1_SQL,
+}

@@ -12,6 +12,7 @@ from .piece_codec import encode_decode
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
+from .warc import archive_and_read
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_hex(listed).alias("ids_sha256"), sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = archive_and_read(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -41,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_piece_codec": op3_piece_codec,
+    "op4_warc": op4_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
+from .minhash_dedup import near_duplicates
 from .piece_codec import encode_decode
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
@@ -33,6 +34,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -48,6 +53,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_piece_codec": op3_piece_codec,
     "op4_warc": op4_warc,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }

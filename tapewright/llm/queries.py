@@ -13,6 +13,7 @@ from .piece_codec import encode_decode
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
+from .suffix_dedup import remove_repeats
 from .warc import archive_and_read
 
 
@@ -38,6 +39,11 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -54,6 +60,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_codec": op3_piece_codec,
     "op4_warc": op4_warc,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }

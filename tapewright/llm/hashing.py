@@ -20,6 +20,8 @@ _FOLDED = _T.copy()
 _FOLDED[65:91] = _T[97:123]  # A-Z count as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PUNCTUATION = _SPACE.copy()
+_PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -59,11 +61,14 @@ class PrefixHash:
         return mix64((self.sums[size:] - self.sums[:n]) * self.back[:n]) if n else np.zeros(0, np.uint64)
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word (stretch without white space), and each text's bounds among the words."""
+def words(data: np.ndarray, bounds: np.ndarray, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word (stretch without white space), and each text's bounds among the words.
+
+    bare: ASCII punctuation parts words as white space does.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
-    solid = ~_SPACE[data]
+    solid = ~(_PUNCTUATION if bare else _SPACE)[data]
     first = np.empty(len(data), bool)
     first[0], first[1:] = True, ~solid[:-1]
     first[bounds[:-1][bounds[:-1] < len(data)]] = True
@@ -74,10 +79,10 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each text's words, A-Z lower-cased, and each text's bounds among them."""
     data, bounds = joined_bytes(texts)
-    starts, ends, of_text = words(data, bounds)
+    starts, ends, of_text = words(data, bounds, bare)
     return PrefixHash(data, folded=True).of(starts, ends), of_text
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -183,11 +183,11 @@ def _codec(key: str, held) -> PieceCodec:
     return PieceCodec(**held.value)
 
 
-def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ids array<int> (the whole text's token ids), decoded string (made from the ids alone).
+def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: id, the carried columns, ids array<int> (the whole text's token ids), decoded string (made from the ids alone).
 
     A null text counts as empty: no ids, an empty decoded text. Null ids and repeated rows are kept as they are; other
-    columns are not read. The model file is read on the driver and its vocabulary, whose size the model fixes, is
+    columns are not read, and carried ones must not be named as the result's own. The model file is read on the driver and its vocabulary, whose size the model fixes, is
     broadcast. Each row is worked on alone, so nothing is shuffled.
     """
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
@@ -200,6 +200,8 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 ids, bounds = codec.encode_all([t or "" for t in part.column(1).to_pylist()])
                 decoded = codec.decode_all(ids, bounds)
                 listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), listed, pa.array(decoded, pa.string())], names=[id_col, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], listed, pa.array(decoded, pa.string())], names=[id_col, *carry, "ids", "decoded"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"{id_col} {kind}, ids array<int>, decoded string")
+    carried = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("encoded text"), *carry)
+    return texts.mapInArrow(run, f"`{id_col}` {kind}, {carried}ids array<int>, decoded string")

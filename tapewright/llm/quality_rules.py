@@ -6,6 +6,7 @@ document that loses too much of its text with them is rejected. Nothing is shuff
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,10 +55,10 @@ def _line_fails(line: Column, rules: LineRules) -> Column:
     return punctuation | navigation | line.rlike(rf"(?i)\b(?:{'|'.join(BOILERPLATE)})\b")
 
 
-def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules()) -> DataFrame:
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules(), carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: the id, base counts, the cleaned text and the verdict.
 
-    Columns: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_failed_lines, kept_words,
+    Columns: id, the carried columns (which must not be named as the others), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_failed_lines, kept_words,
     base_failed, kept, clean_text. A null or empty text has no words: all counts are 0, base_failed is true, kept is
     false. A null id stays null. Repeated rows each get their own equal result; other columns are not read.
     A line that equals an earlier line of its document counts as boilerplate and goes. kept is false if base_failed,
@@ -65,27 +66,27 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are found by 64-bit hashes within the document.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    step = docs.select(F.col(id_col).alias("id"), text.alias("t"), _words(text).alias("w"), F.split(text, "\n", -1).alias("l"))
+    step = docs.select(F.col(id_col).alias("id"), text.alias("t"), _words(text).alias("w"), F.split(text, "\n", -1).alias("l"), *carry)
     n = F.size("w")
     spans = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
     hashed = F.transform(spans, lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("p")))
     with_word = F.filter("l", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    step = step.select("id", "t", n.alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"), with_word.alias("l"), F.array_sort(hashed).alias("s"))
+    step = step.select("id", "t", n.alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"), with_word.alias("l"), F.array_sort(hashed).alias("s"), *carry)
     near = lambda x, i: (F.get("s", i - 1)["h"] == x["h"]) | (F.get("s", i + 1)["h"] == x["h"])
     again = F.filter("s", lambda x, i: F.coalesce(near(x, i), F.lit(False)))
-    step = step.select("id", "t", "n_words", "word_chars", "l", F.array_distinct("l").alias("once"), again.alias("again"))
+    step = step.select("id", "t", "n_words", "word_chars", "l", F.array_distinct("l").alias("once"), again.alias("again"), *carry)
     positions = F.flatten(F.transform("again", lambda x: F.array(x["p"], x["p"] + 1, x["p"] + 2)))
     step = step.select(
         "id", "t", "n_words", "word_chars", (F.size("l") - F.size("once")).alias("n_dup_lines"), F.size("l").alias("n_lines"),
         F.when(F.size("again") > 0, F.size(F.array_distinct(positions))).otherwise(0).alias("n_repeat_words"),
-        F.filter("once", lambda x: ~_line_fails(x, rules)).alias("stay"),
+        F.filter("once", lambda x: ~_line_fails(x, rules)).alias("stay"), *carry,
     )
     step = step.withColumn("clean_text", F.array_join("stay", "\n"))
     symbols = F.length("t") - F.length(F.regexp_replace("t", r"[#*$%&|<>]", ""))
     base_failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     kept_words = F.size(_words(F.col("clean_text")))
     out = step.select(
-        F.col("id").alias(id_col), F.col("n_words").cast("long"), F.col("word_chars").cast("long"), symbols.cast("long").alias("n_symbols"),
+        F.col("id").alias(id_col), *carry, F.col("n_words").cast("long"), F.col("word_chars").cast("long"), symbols.cast("long").alias("n_symbols"),
         F.col("n_dup_lines").cast("long"), F.col("n_repeat_words").cast("long"), (F.col("n_lines") - F.size("stay")).cast("long").alias("n_failed_lines"),
         kept_words.cast("long").alias("kept_words"), base_failed.alias("base_failed"), "clean_text",
     )

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import find_leaks
 from .line_dedup import dedup_lines
 from .minhash_dedup import near_duplicates
 from .piece_codec import encode_decode
+from .pseudonyms import pseudonymize_documents
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
@@ -22,6 +24,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,6 +45,11 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
 
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with personal data. A production run passes its own secret; this one is for tests."""
+    return pseudonymize_documents(table(spark, sf_dir, "documents"), b"a key for tests only").filter("n_values > 0")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256_hex(F.col("kept")).alias("kept_sha256"))
@@ -57,9 +68,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_piece_codec": op3_piece_codec,
     "op4_warc": op4_warc,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_pseudonyms": op6_pseudonyms,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,

@@ -90,4 +90,6 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("n_dup_lines").cast("long"), F.col("n_repeat_words").cast("long"), (F.col("n_lines") - F.size("stay")).cast("long").alias("n_failed_lines"),
         kept_words.cast("long").alias("kept_words"), base_failed.alias("base_failed"), "clean_text",
     )
+    # a generator of one row, so that no filter on the results is moved below and the counts made once for each use
+    out = out.select(F.inline(F.array(F.struct(*out.columns))))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("kept_words") >= rules.min_kept_share * F.col("n_words")))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import market_queries
 from .functions.features import BOOLEAN, EMA_PERIODS, HIST, INTEGER, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, RSI_PERIODS, SIGNAL_PERIOD, STAGES, WINDOWED, window_clause
 from .plans.feature_view import BASE, features, market_rows, staged
 from .sources.market_tables import QUOTES_SQL, quotes
@@ -22,11 +23,11 @@ def _duck(text: str) -> str:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[(F.round(c, 6) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def _round_sql(name: str, text: str) -> str:
-    return f"{text} AS {name}" if name in BOOLEAN | INTEGER else f"round({text}, 6) AS {name}"
+    return f"{text} AS {name}" if name in BOOLEAN | INTEGER else f"round({text}, 6) + CAST(0 AS DOUBLE) AS {name}"
 
 
 def _recurrence_sql() -> str:
@@ -90,7 +91,9 @@ def _register_features() -> None:
     QUERIES["feature_view_full"] = lambda spark, d: _rounded(features(quotes(spark, d)))
     SQL["feature_view_full"] = _feature_sql([*WINDOWED, *RECURRENT], market=True, levels=True)
     QUERIES["quotes"] = lambda spark, d: _rounded(quotes(spark, d))
-    SQL["quotes"] = f"SELECT isin, exchange, code, trade_date, {', '.join(f'round({c}, 6) AS {c}' for c in ('open', 'high', 'low', 'close', 'adjusted_close'))}, volume FROM ({QUOTES_SQL}) AS q"
+    SQL["quotes"] = f"SELECT isin, exchange, code, trade_date, {', '.join(f"round({c}, 6) + CAST(0 AS DOUBLE) AS {c}" for c in ('open', 'high', 'low', 'close', 'adjusted_close'))}, volume FROM ({QUOTES_SQL}) AS q"
 
 
 _register_features()
+QUERIES |= market_queries.QUERIES
+SQL |= market_queries.SQL

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontamination import find_leaks
 from .line_dedup import dedup_lines
 from .minhash_dedup import near_duplicates
+from .passage_dedup import repeated_passages
 from .piece_codec import encode_decode
 from .pseudonyms import pseudonymize_documents
 from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
@@ -50,6 +51,10 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize_documents(table(spark, sf_dir, "documents"), b"a key for tests only").filter("n_values > 0")
 
 
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256_hex(F.col("kept")).alias("kept_sha256"))
@@ -73,6 +78,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_pseudonyms": op6_pseudonyms,
+    "op7_passage_dedup": op7_passage_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,

@@ -97,16 +97,21 @@ def row_digest_rows(spark: SparkSession, d: str) -> DataFrame:
     return digests(quotes(spark, d).select(*KEYS, "volume", F.current_timestamp().alias("fetched_at_utc")), KEYS)
 
 
-_PRINT = """dig AS (SELECT isin, sha256('tapewright:row:v1' || chr(10) || '{"code":"' || code || '","exchange":"' || exchange || '","trade_date":"' || trade_date || '","volume":' || volume || '}') AS d FROM q),
-b AS (SELECT isin, substr(d, 1, 3) AS bucket, count(*) AS n, sha256(string_agg(d, ',' ORDER BY d)) AS h FROM dig GROUP BY isin, substr(d, 1, 3))"""
+def _print_sql(by: str) -> str:
+    """The fingerprint of each group of `by` (a column and a comma, or nothing)."""
+    digest = """sha256('tapewright:row:v1' || chr(10) || '{"code":"' || code || '","exchange":"' || exchange || '","trade_date":"' || trade_date || '","volume":' || volume || '}')"""
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+    return f"""WITH {_Q}, dig AS (SELECT {by}{digest} AS d FROM q),
+b AS (SELECT {by}substr(d, 1, 3) AS bucket, count(*) AS n, sha256(string_agg(d, ',' ORDER BY d)) AS h FROM dig GROUP BY {by}substr(d, 1, 3))
+SELECT {by}sum(n)::BIGINT AS row_count, sha256(string_agg(h, ',' ORDER BY bucket)) AS fingerprint FROM b {group}"""
 
 
-@_query("gold_partition_hashes", f"WITH {_Q}, {_PRINT} SELECT isin, sum(n)::BIGINT AS row_count, sha256(string_agg(h, ',' ORDER BY bucket)) AS fingerprint FROM b GROUP BY isin")
+@_query("gold_partition_hashes", _print_sql("isin, "))
 def gold_partition_hashes(spark: SparkSession, d: str) -> DataFrame:
     return fingerprint(quotes(spark, d).select(*KEYS, "volume"), ["isin"])
 
 
-@_query("dataset_fingerprint", f"WITH {_Q}, {_PRINT.replace('SELECT isin, sha256', 'SELECT sha256').replace('SELECT isin, substr', 'SELECT substr').replace('GROUP BY isin, substr', 'GROUP BY substr').replace('code || ', 'code || ')} SELECT sum(n)::BIGINT AS row_count, sha256(string_agg(h, ',' ORDER BY bucket)) AS fingerprint FROM b".replace('\',"trade_date":"\'', '\',"trade_date":"\''))
+@_query("dataset_fingerprint", _print_sql(""))
 def dataset_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return fingerprint(quotes(spark, d).select("exchange", "code", "trade_date", "volume"), [])
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from ..functions.features import HIST, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, STAGES, WINDOWED, window_clause
+from ..operators.normalize import with_availability
 from ..operators.recurrences import COLUMNS, with_recurrences
 
 BASE = (
@@ -42,7 +43,7 @@ def market_rows(quotes: DataFrame) -> DataFrame:
 
 
 def features(quotes: DataFrame, families: Iterable[str] | None = None, market: bool = True, levels: bool = True) -> DataFrame:
-    """The keys, trade_date, the two levels and the features of the chosen families (all by default).
+    """The keys, trade_date, availability, the two levels and the features of the chosen families (all by default).
 
     quotes: isin, exchange, code, trade_date, open, high, low, close, adjusted_close, volume; one row per instrument and
     date. Only the stages and columns that the chosen families use are computed.
@@ -56,6 +57,8 @@ def features(quotes: DataFrame, families: Iterable[str] | None = None, market: b
         stages.append({"hist": HIST})
     picked = ", ".join([*KEYS, "trade_date", *(["p AS adjusted_close_level", "v AS volume_level"] if levels else []), *(f"{x} AS {n}" for n, x in (own | recurrent).items())])
     out = spark.sql(staged("SELECT * FROM {rows}", stages, f"SELECT {picked} FROM {{last}} {window_clause()}").replace("{{rows}}", "{rows}"), rows=rows)
+    if levels:
+        out = with_availability(out, "trade_date")
     return out.join(market_rows(quotes), "trade_date") if market else out
 
 

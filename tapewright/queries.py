@@ -63,7 +63,7 @@ recurrent AS (SELECT c.*, v.* EXCLUDE ({keys}, i), CASE WHEN w.run >= {SIGNAL_PE
 def _feature_sql(families: list[str], market: bool, levels: bool) -> str:
     own = {n: x for f in families if f in WINDOWED for n, x in WINDOWED[f].items()}
     recurrent = {n: x for f in families if f in RECURRENT for n, x in RECURRENT[f].items()}
-    picked = ", ".join([*KEYS, "trade_date", *(["round(p, 6) AS adjusted_close_level", "round(v, 6) AS volume_level"] if levels else []), *(_round_sql(n, x) for n, x in (own | recurrent).items())])
+    picked = ", ".join([*KEYS, "trade_date", *(["CAST(trade_date + CASE isodow(trade_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS available_on", "round(p, 6) AS adjusted_close_level", "round(v, 6) AS volume_level"] if levels else []), *(_round_sql(n, x) for n, x in (own | recurrent).items())])
     base = f"base AS ({BASE.format(source=f'({QUOTES_SQL}) AS q')})"
     stages = [*STAGES, *([{"hist": HIST}] if recurrent else [])]
     text = staged("SELECT * FROM recurrent" if recurrent else "SELECT * FROM base", stages, f"SELECT {picked} FROM {{last}} {window_clause()}")
@@ -88,7 +88,7 @@ def _register_features() -> None:
     QUERIES["feat_breadth_dispersion"] = lambda spark, d: _rounded(market_rows(quotes(spark, d)))
     base = f"base AS ({BASE.format(source=f'({QUOTES_SQL}) AS q')})"
     SQL["feat_breadth_dispersion"] = _duck(f"WITH {base}, " + staged("SELECT * FROM base", STAGES[:2], "SELECT * FROM {last}").removeprefix("WITH ").rsplit(" SELECT * FROM s2", 1)[0] + f", {_market_ctes('s2')} SELECT * FROM market")
-    QUERIES["feature_view_full"] = lambda spark, d: _rounded(features(quotes(spark, d)))
+    QUERIES["feature_view_full"] = lambda spark, d: _rounded(features(quotes(spark, d)).withColumn("available_on", F.to_date("available_at_utc")).drop("available_at_utc"))
     SQL["feature_view_full"] = _feature_sql([*WINDOWED, *RECURRENT], market=True, levels=True)
     QUERIES["quotes"] = lambda spark, d: _rounded(quotes(spark, d))
     SQL["quotes"] = f"SELECT isin, exchange, code, trade_date, {', '.join(f"round({c}, 6) + CAST(0 AS DOUBLE) AS {c}" for c in ('open', 'high', 'low', 'close', 'adjusted_close'))}, volume FROM ({QUOTES_SQL}) AS q"

@@ -98,6 +98,42 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM judged GROUP BY doc_id
 """
 
+_OP4_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, ((k // 4) * 5 + 1)::INT, 5))::INT >> (15 - 5 * (k % 4))::INT) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m
+"""
+
+_OP9_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+), win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), again AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win WHERE n > 1) GROUP BY doc_id
+), line AS (
+  SELECT DISTINCT doc_id, x, regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g') AS bare FROM (SELECT doc_id, unnest(l) AS x FROM d)
+), stay AS (
+  SELECT doc_id, count(*) AS n, sum(len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> ''))) AS words FROM line WHERE NOT (
+    len(regexp_extract_all(bare, '[#*$%&|<>{{}}\[\]=~^`\\]')) > 0.1 * length(bare)
+    OR (len(regexp_extract_all(bare, '[!?]')) - len(regexp_extract_all(bare, '[!?]+'))) * 12 > 0.3 * length(bare)
+    OR len(regexp_extract_all(bare, '[|»›•·]')) >= 3
+    OR (NOT regexp_matches(x, '(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]){{4}}[^\x20\x09-\x0D]') AND NOT regexp_matches(x, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') AND regexp_matches(x, '(?i)\b(?:{'|'.join(NAVIGATION)})\b'))
+    OR regexp_matches(x, '(?i)\b(?:{'|'.join(BOILERPLATE)})\b')) GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(a.n, 0)::BIGINT AS n_repeat_words, (len(l) - coalesce(s.n, 0))::BIGINT AS n_failed_lines, coalesce(s.words, 0)::BIGINT AS kept_words
+  FROM d LEFT JOIN again a USING (doc_id) LEFT JOIN stay s USING (doc_id)
+), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND kept_words >= 0.5 * n_words AS kept FROM judged
+"""
+
 LLM_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1_SQL,
+    "op4_warc": _OP4_SQL,
+    "op9_quality_rules": _OP9_SQL,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.features import HIST, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, STAGES, WINDOWED, window_clause
 from ..operators.normalize import with_availability
@@ -16,12 +18,22 @@ BASE = (
 )
 
 
+_CALL = re.compile(r"\w+\([^()]*\) OVER \w+")
+
+
+def shared_windows(columns: dict[str, str], source: str, keep: str) -> str:
+    """A query for the columns in which each window call that several of them use is computed once, in a step below."""
+    calls = {c: f"_{source.strip("{}")}_{k}" for k, c in enumerate(dict.fromkeys(c for x in columns.values() for c in _CALL.findall(x)))}
+    named = {n: _CALL.sub(lambda m: calls[m[0]], x) for n, x in columns.items()}
+    below = f"(SELECT *, {', '.join(f'{c} AS {n}' for c, n in calls.items())} FROM {source} {window_clause()}) AS below" if calls else source
+    return f"SELECT {keep}, {', '.join(f'{x} AS {n}' for n, x in named.items())} FROM {below}"
+
+
 def staged(source: str, stages: Iterable[dict[str, str]], select: str) -> str:
     """A query that adds the stages one after the other to the rows of source."""
     named = [("s0", source)]
     for k, columns in enumerate(stages):
-        added = ", ".join(f"{x} AS {n}" for n, x in columns.items())
-        named.append((f"s{k + 1}", f"SELECT *, {added} FROM s{k} {window_clause()}"))
+        named.append((f"s{k + 1}", shared_windows(columns, f"s{k}", "*")))
     return "WITH " + ", ".join(f"{n} AS ({q})" for n, q in named) + f" {select.format(last=f's{len(named) - 1}')}"
 
 
@@ -55,11 +67,13 @@ def features(quotes: DataFrame, families: Iterable[str] | None = None, market: b
     if recurrent:
         rows = with_recurrences(rows)
         stages.append({"hist": HIST})
-    picked = ", ".join([*KEYS, "trade_date", *(["p AS adjusted_close_level", "v AS volume_level"] if levels else []), *(f"{x} AS {n}" for n, x in (own | recurrent).items())])
-    out = spark.sql(staged("SELECT * FROM {rows}", stages, f"SELECT {picked} FROM {{last}} {window_clause()}").replace("{{rows}}", "{rows}"), rows=rows)
+    keep = ", ".join([*KEYS, "trade_date", *(["p AS adjusted_close_level", "v AS volume_level"] if levels else [])])
+    final = shared_windows(own | recurrent, "{last}", keep)
+    out = spark.sql(staged("SELECT * FROM {rows}", stages, final).replace("{{rows}}", "{rows}"), rows=rows)
     if levels:
         out = with_availability(out, "trade_date")
-    return out.join(market_rows(quotes), "trade_date") if market else out
+    # one row per date: calendar dates bound its size, whatever the number of instruments
+    return out.join(F.broadcast(market_rows(quotes)), "trade_date") if market else out
 
 
 __all__ = ["COLUMNS", "features", "market_rows", "staged"]

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import market_queries
-from .functions.features import BOOLEAN, EMA_PERIODS, HIST, INTEGER, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, RSI_PERIODS, SIGNAL_PERIOD, STAGES, WINDOWED, window_clause
-from .plans.feature_view import BASE, features, market_rows, staged
+from .functions.features import BOOLEAN, EMA_PERIODS, HIST, INTEGER, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, RSI_PERIODS, SIGNAL_PERIOD, STAGES, WINDOWED
+from .plans.feature_view import BASE, features, market_rows, shared_windows, staged
 from .sources.market_tables import QUOTES_SQL, quotes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,10 +63,11 @@ recurrent AS (SELECT c.*, v.* EXCLUDE ({keys}, i), CASE WHEN w.run >= {SIGNAL_PE
 def _feature_sql(families: list[str], market: bool, levels: bool) -> str:
     own = {n: x for f in families if f in WINDOWED for n, x in WINDOWED[f].items()}
     recurrent = {n: x for f in families if f in RECURRENT for n, x in RECURRENT[f].items()}
-    picked = ", ".join([*KEYS, "trade_date", *(["CAST(trade_date + CASE isodow(trade_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS available_on", "round(p, 6) AS adjusted_close_level", "round(v, 6) AS volume_level"] if levels else []), *(_round_sql(n, x) for n, x in (own | recurrent).items())])
+    keep = ", ".join([*KEYS, "trade_date", *(["CAST(trade_date + CASE isodow(trade_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS available_on", "round(p, 6) AS adjusted_close_level", "round(v, 6) AS volume_level"] if levels else [])])
+    final = shared_windows({n: _round_sql(n, x).removesuffix(f" AS {n}") for n, x in (own | recurrent).items()}, "{last}", keep)
     base = f"base AS ({BASE.format(source=f'({QUOTES_SQL}) AS q')})"
     stages = [*STAGES, *([{"hist": HIST}] if recurrent else [])]
-    text = staged("SELECT * FROM recurrent" if recurrent else "SELECT * FROM base", stages, f"SELECT {picked} FROM {{last}} {window_clause()}")
+    text = staged("SELECT * FROM recurrent" if recurrent else "SELECT * FROM base", stages, final)
     with_ = f"WITH RECURSIVE {base}, {_recurrence_sql()}, " if recurrent else f"WITH {base}, "
     text = with_ + text.removeprefix("WITH ")
     if market:

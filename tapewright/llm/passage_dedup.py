@@ -22,10 +22,10 @@ from .minhash_dedup import near_duplicates
 from .shared import SPACE_CLASS, materialize, mix64, slices
 
 MIN_PARAGRAPH = 20
-MIN_SENTENCE = 8
+MIN_SENTENCE = 5
 MIN_PASSAGE = 30
-#: Words between two repeats that still belong to one passage: less than a sentence that is looked for.
-MAX_GAP = MIN_SENTENCE
+#: Fewer words than these between two repeats leave them one passage: a sentence too short to look for, or a changed one.
+MAX_GAP = 8
 #: Lines of one document that a paragraph's number can tell apart, as a power of two.
 LINE_BITS = 22
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -7,7 +7,7 @@ import pytest
 def corpus():
     """Small documents with copies, near copies, shared lines and passages, odd white space and several scripts."""
     rng = random.Random(11)
-    words = ["the", "of", "und", "que", "été", "Straße", "data", "line", "spark", "日本", "x1", "Again", "node", "plan", "été.", "end."]
+    words = ["the", "of", "und", "que", "été", "Straße", "data", "line", "spark", "日本", "x1", "Again", "node", "plan", "vers", "ende"]
     sentence = lambda n: " ".join(rng.choice(words) + rng.choice(["", "", str(rng.randint(0, 99))]) for _ in range(n)) + "."
     shared = [sentence(12) for _ in range(4)]
     passage = " ".join(sentence(12) for _ in range(6))

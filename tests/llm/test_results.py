@@ -190,7 +190,7 @@ def test_quality_rules(docs, corpus):
 
 
 def test_quality_rules_lines(spark):
-    good = " ".join(f"word{k} and then more text" for k in range(30)) + "."
+    good = " ".join(f"word{k} goes with text{k} here" for k in range(30)) + "."
     rows = [(1, good), (2, good + "\nHome | About | Log in | Search\nAll rights reserved."), (3, "\n".join(f"w{k}%% a{k}## b{k}$$ c{k}&&" for k in range(40)) + "\n" + good[:300])]
     got = {r.doc_id: r for r in clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].kept and got[1].clean_text == good

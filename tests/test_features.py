@@ -92,7 +92,7 @@ def test_sparse_calendar(spark):
     assert rows["BBB", first + 3].log_return_1 is None
     price = {i: 80 + 0.73 * i + (i % 5) * 0.17 for i in range(65)}
     assert close(rows["BBB", first + 21].log_return_1, math.log(price[21] / price[19]))
-    assert rows["AAA", first + 20].breadth_daily == 1.0 and rows["AAA", first + 20].dispersion_daily is None
+    assert rows["AAA", first + 20].breadth_daily == 0.0 and rows["AAA", first + 20].dispersion_daily is None
 
 
 def test_market_rows(spark):

@@ -26,8 +26,8 @@ from .shared import slices
 
 MARK = "▁"
 #: Pairs, and characters of stretches, remembered by a worker; a full memory is emptied, which changes no result.
-MAX_REMEMBERED = 400_000
-MAX_REMEMBERED_CHARS = 10_000_000
+MAX_REMEMBERED = 250_000
+MAX_REMEMBERED_CHARS = 5_000_000
 NEVER = float("-inf")
 
 

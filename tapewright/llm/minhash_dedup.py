@@ -5,8 +5,9 @@
 2. Buckets with two classes or more give candidates. First each bucket links its members with one pivot, the member that
    shares most buckets, so a bucket of n members gives n - 1 candidates. Signatures drop those whose corrected estimate
    is far below the threshold; the rest are confirmed on full sets.
-3. Members that the pivots didn't join are compared by wider signatures, block against block within their bucket, and
-   again confirmed. No pair is dropped for the size of its bucket.
+3. Members that the pivots didn't join are compared by wider signatures, block against block within their bucket. A
+   forest of their likely links is confirmed first, then all pairs that are still apart. No pair is dropped for the size
+   of its bucket.
 4. Components of the confirmed links, spread to the members of each class.
 """
 
@@ -145,11 +146,12 @@ def _likely(pairs: DataFrame, signatures: DataFrame, count: int, least: float) -
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _across(members: DataFrame, count: int, least: float) -> DataFrame:
+def _across(members: DataFrame, count: int, least: float, forest: bool = False) -> DataFrame:
     """Pairs of one bucket's members from different components whose estimate reaches the least value.
 
     members: bucket, band, size, id, component, signature, keys. A bucket of many members is dealt out as pairs of
-    blocks. A pair that shares buckets of several bands is given once, by the first of these bands.
+    blocks. A pair that shares buckets of several bands is given once, by the first of these bands. forest: pairs that
+    others of the same two blocks connect already are left out, so n members give n - 1 pairs at most.
     """
     kind = members.schema["id"].dataType.simpleString()
     own = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -179,7 +181,7 @@ def _across(members: DataFrame, count: int, least: float) -> DataFrame:
         split = rows.column("i")[0] != rows.column("j")[0]
         side = rows.column("right").to_numpy()
         band = rows.column("band")[0].as_py()
-        component = rows.column("component").to_numpy()
+        component = rows.column("component").to_numpy().copy()
         signature, keys = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t).reshape(n, -1) for c, t in (("signature", np.uint64), ("keys", np.uint32)))
         ids = rows.column("id").combine_chunks()
         order = pa.compute.rank(ids).to_numpy()
@@ -187,8 +189,14 @@ def _across(members: DataFrame, count: int, least: float) -> DataFrame:
         for left in np.flatnonzero(~side).tolist() if split else range(n):
             rest = rights if split else rights[left + 1 :]
             rest = rest[component[rest] != component[left]]
-            rest = rest[estimates(signature[left], signature[rest], count) >= least]
-            rest = rest[~(keys[left, :band] == keys[rest, :band]).any(axis=1)]
+            likeness = estimates(signature[left], signature[rest], count)
+            near = (likeness >= least) & ~(keys[left, :band] == keys[rest, :band]).any(axis=1)
+            rest = rest[near]
+            if forest and len(rest):
+                best = np.argsort(-likeness[near], kind="stable")
+                met, firsts = np.unique(component[rest[best]], return_index=True)
+                rest = rest[best[firsts]]
+                component[np.isin(component, met)] = component[left]
             if len(rest):
                 own = np.full(len(rest), left)
                 up = order[rest] > order[left]
@@ -229,14 +237,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(named.join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
     links = materialize(confirmed(_likely(stars, signatures, count, least), texts, size, percent), "links")
 
-    joined = shared.join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = joined.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("bucket")
-    apart = joined.join(open_, "bucket")
-    wide = materialize(wide_signatures(texts.join(apart.select("id").distinct(), "id", "left_semi"), size), "wide-signatures")
-    members = apart.join(signatures.select("id", F.col("short_keys").alias("keys")), "id").join(wide, "id")
-    more = materialize(confirmed(_across(members, WIDE, _least(percent, WIDE)), texts, size, percent), "links")
-
-    found = connected_components(links.union(more))
+    def apart(links: DataFrame) -> DataFrame:
+        """The members of buckets that hold more than one component of the links."""
+        joined = shared.join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        open_ = joined.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("bucket")
+        return materialize(joined.join(open_, "bucket"), "apart")
+
+    before = apart(links)
+    wide = wide_signatures(texts.join(before.select("id").distinct(), "id", "left_semi"), size)
+    signed = materialize(signatures.select("id", F.col("short_keys").alias("keys")).join(wide, "id"), "wide-signatures")
+    forest = _across(before.join(signed, "id"), WIDE, percent / 100, forest=True)
+    links = links.union(materialize(confirmed(forest, texts, size, percent), "links"))
+    rest = _across(apart(links).join(signed, "id"), WIDE, _least(percent, WIDE))
+    links = links.union(materialize(confirmed(rest, texts, size, percent), "links"))
+
+    found = connected_components(links)
     of_class = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n", F.coalesce("component", "rep").alias("component"))
     out = held.join(of_class, ["set_hash", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

@@ -9,15 +9,15 @@ MIN_PASSAGE words or more are removed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import word_hashes
+from .hashing import PrefixHash, joined_bytes, words
 from .minhash_dedup import near_duplicates
 from .shared import SPACE_CLASS, materialize, mix64, slices
 
@@ -28,49 +28,60 @@ MIN_PASSAGE = 30
 MAX_GAP = 8
 #: Lines of one document that a paragraph's number can tell apart, as a power of two.
 LINE_BITS = 22
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def sentences(text: str) -> list[tuple[int, int, str]]:
-    """First character, end, and the text of each sentence: words up to one that ends in . ! or ?, within a line."""
-    out, start, end, count = [], -1, 0, 0
-    line_end = -1
-    for m in _WORD.finditer(text):
-        if start >= 0 and m.start() > line_end:
-            out.append((start, end, count))
-            start = -1
-        if start < 0:
-            start, count = m.start(), 0
-            line_end = text.find("\n", m.start())
-            line_end = len(text) if line_end < 0 else line_end
-        end, count = m.end(), count + 1
-        if text[end - 1] in ".!?":
-            out.append((start, end, count))
-            start = -1
-    if start >= 0:
-        out.append((start, end, count))
-    return [(a, b, text[a:b]) for a, b, n in out if n >= MIN_SENTENCE]
-
-
-def _sentence_hashes(texts: list[str]) -> np.ndarray:
-    """A 64-bit hash of each text's word sequence, A-Z lower-cased."""
-    hashes, bounds = word_hashes(pa.array(texts, pa.string()))
-    place = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
-    mixed = mix64(hashes + mix64(place.astype(np.uint64)))
+
+
+@dataclass(frozen=True)
+class Sentences:
+    """Many texts at once, as bytes: their words, lines and sentences. Sentences are ranges of words of all texts."""
+
+    data: np.ndarray
+    bounds: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    of_text: np.ndarray
+    newlines: np.ndarray
+    first: np.ndarray
+    to: np.ndarray
+
+
+def sentences(texts: pa.Array) -> Sentences:
+    """A sentence is the words up to one that ends in . ! or ?, within a line; short ones are in the result too."""
+    data, bounds = joined_bytes(texts)
+    starts, ends, of_text = words(data, bounds)
+    newlines = np.flatnonzero(data == ord("\n"))
+    line = np.searchsorted(newlines, starts)
+    closes = np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)) if len(starts) else np.zeros(0, bool)
+    closes[:-1] |= line[1:] != line[:-1]
+    closes[of_text[1:][of_text[1:] > 0] - 1] = True
+    to = np.flatnonzero(closes) + 1
+    return Sentences(data, bounds, starts, ends, of_text, newlines, np.concatenate([[0], to[:-1]]).astype(np.int64) if len(to) else to, to)
+
+
+def _hashed_sentences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each sentence that is long enough: a 64-bit hash of its words (A-Z lower-cased), its text, its first word there."""
+    s = sentences(texts)
+    place = np.arange(len(s.starts)) - np.repeat(s.first, s.to - s.first)
+    mixed = mix64(PrefixHash(s.data, folded=True).of(s.starts, s.ends) + mix64(place.astype(np.uint64)))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)])
-    return mix64(sums[bounds[1:]] - sums[bounds[:-1]])
+    long = s.to - s.first >= MIN_SENTENCE
+    first, to = s.first[long], s.to[long]
+    of = np.searchsorted(s.of_text, first, side="right") - 1
+    return mix64(sums[to] - sums[first]), of, first - s.of_text[of]
 
 
-def passages(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """Joins repeated spans of characters that few words part; start, end and words of those that are long enough."""
-    words = lambda a, b: sum(1 for _ in _WORD.finditer(text, a, b))
+def passages(starts: np.ndarray, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Joins repeated spans of bytes that few words part; start, end and words of those that are long enough.
+
+    starts: where the words start, ascending.
+    """
     runs: list[list[int]] = []
+    at = lambda x: int(np.searchsorted(starts, x))
     for a, b in sorted(spans):
-        if runs and (a <= runs[-1][1] or words(runs[-1][1], a) < MAX_GAP):
+        if runs and (a <= runs[-1][1] or at(a) - at(runs[-1][1]) < MAX_GAP):
             runs[-1][1] = max(runs[-1][1], b)
         else:
             runs.append([a, b])
-    return [(a, b, n) for a, b in runs if (n := words(a, b)) >= MIN_PASSAGE]
+    return [(a, b, n) for a, b in runs if (n := at(b) - at(a)) >= MIN_PASSAGE]
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, bands: int = 10, rows: int = 3) -> DataFrame:
@@ -92,12 +103,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                found = [sentences(t) for t in part.column(1).to_pylist()]
-                counts = [len(f) for f in found]
-                of = np.repeat(np.arange(len(found)), counts)
-                at = [a for f in found for a, _, _ in f]
-                hashes = _sentence_hashes([s for f in found for _, _, s in f])
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), part.column(0).take(pa.array(of, pa.int64())), pa.array(at, pa.int64())], names=["h", "id", "at"])
+                hashes, of, at = _hashed_sentences(part.column(1))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), part.column(0).take(pa.array(of)), pa.array(at)], names=["h", "id", "at"])
 
     said = texts.mapInArrow(hashed, "h long, id long, at long")
     first = said.groupBy("h").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("h", "first")
@@ -108,19 +115,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for part in slices(batch, 1):
                 out = []
-                for id_, text, found in zip(*(c.to_pylist() for c in part.columns)):
-                    starts = {f["at"] for f in found if not f["line"]}
-                    numbers = {f["at"] for f in found if f["line"]}
-                    own = [(a, b) for a, b, _ in sentences(text) if a in starts] if starts else []
-                    at = 0
-                    for n, line in enumerate(text.split("\n") if numbers else ()):
-                        if n in numbers:
-                            own.append((at, at + len(line)))
-                        at += len(line) + 1
-                    if gone := passages(text, own):
-                        ends = [0, *(x for a, b, _ in gone for x in (a, b)), len(text)]
-                        kept = "".join(text[a:b] for a, b in zip(ends[::2], ends[1::2]))
-                        out.append((id_, len(gone), sum(n for _, _, n in gone), [[a, b] for a, b, _ in gone], kept))
+                s = sentences(part.column(1))
+                chars = np.concatenate([[0], np.cumsum((s.data & 0xC0) != 0x80)])
+                until = dict(zip(s.first.tolist(), s.to.tolist()))
+                for k, (id_, found) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
+                    begin, end = s.bounds[k : k + 2].tolist()
+                    lines = [begin - 1, *s.newlines[slice(*np.searchsorted(s.newlines, (begin, end)))].tolist(), end]
+                    own = []
+                    for f in found:
+                        if f["line"]:
+                            own.append((lines[f["at"]] + 1, lines[f["at"] + 1]))
+                        else:
+                            word = int(s.of_text[k]) + f["at"]
+                            own.append((int(s.starts[word]), int(s.ends[until[word] - 1])))
+                    if gone := passages(s.starts, own):
+                        ends = [begin, *(x for a, b, _ in gone for x in (a, b)), end]
+                        kept = b"".join(s.data[a:b].tobytes() for a, b in zip(ends[::2], ends[1::2])).decode()
+                        spans = [(chars[[a, b]] - chars[begin]).tolist() for a, b, _ in gone]
+                        out.append((id_, len(gone), sum(n for _, _, n in gone), spans, kept))
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, types)], names=[id_col, "n_passages", "n_words", "spans", "kept_text"])
 

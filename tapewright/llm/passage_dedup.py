@@ -94,7 +94,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    long_line = rf"(?:[^\x20\x09-\x0D]+{SPACE_CLASS}+){{{MIN_PARAGRAPH - 1}}}[^\x20\x09-\x0D]"
+    long_line = rf"^{SPACE_CLASS}*+(?:[^\x20\x09-\x0D]++{SPACE_CLASS}++){{{MIN_PARAGRAPH - 1}}}[^\x20\x09-\x0D]"
     lines = texts.select("id", F.posexplode(F.split("text", "\n", -1)).alias("n", "line")).filter(F.col("line").rlike(long_line))
     paragraphs = lines.select((F.shiftleft("id", LINE_BITS) + F.col("n")).alias("paragraph"), "line")
     same = near_duplicates(paragraphs, "paragraph", "line", percent=percent, bands=bands, rows=rows)

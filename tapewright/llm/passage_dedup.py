@@ -2,9 +2,11 @@
 
 A paragraph is a line of MIN_PARAGRAPH words or more. Paragraphs whose bands collide are joined, verified by the exact
 Jaccard similarity of their shingle sets, and clustered by components; all but a cluster's first are repeats. Passages
-that lie inside other paragraphs are found by their sentences: sentences of MIN_SENTENCE words or more are joined on
-their whole word sequence. Repeats that follow each other, with short gaps at most, make a passage, and passages of
-MIN_PASSAGE words or more are removed.
+that lie inside other paragraphs are found by their sentences and by their words. Sentences of MIN_SENTENCE words or more
+are met on their whole word sequence. Of the MIN_PASSAGE-word stretches, the one with the smallest hash of each WINDOW
+that follow each other is picked, whatever the punctuation and lines, so two places with FOUND equal words share a pick.
+Around shared picks all stretches of MIN_PASSAGE words are met, which extends a hit to the full equal run. Repeats that
+follow each other, with short gaps at most, make a passage, and passages of MIN_PASSAGE words or more are removed.
 """
 
 from __future__ import annotations
@@ -14,16 +16,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import PrefixHash, joined_bytes, words
+from .hashing import _P, _P_INVERSE, PrefixHash, _grown, joined_bytes, words
 from .minhash_dedup import near_duplicates
 from .shared import SPACE_CLASS, materialize, mix64, slices
+from .suffix_dedup import _sliding_min
 
 MIN_PARAGRAPH = 20
 MIN_SENTENCE = 5
 MIN_PASSAGE = 30
+#: Equal runs of so many words are found wherever they lie.
+FOUND = 50
+WINDOW = FOUND - MIN_PASSAGE + 1
+#: What a row stands for: a sentence, a picked stretch, any stretch near a shared pick, a line.
+SENTENCE, PICK, NEAR, LINE = range(4)
 #: Fewer words than these between two repeats leave them one passage: a sentence too short to look for, or a changed one.
 MAX_GAP = 8
 #: Lines of one document that a paragraph's number can tell apart, as a power of two.
@@ -57,11 +66,10 @@ def sentences(texts: pa.Array) -> Sentences:
     return Sentences(data, bounds, starts, ends, of_text, newlines, np.concatenate([[0], to[:-1]]).astype(np.int64) if len(to) else to, to)
 
 
-def _hashed_sentences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashed_sentences(s: Sentences, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each sentence that is long enough: a 64-bit hash of its words (A-Z lower-cased), its text, its first word there."""
-    s = sentences(texts)
     place = np.arange(len(s.starts)) - np.repeat(s.first, s.to - s.first)
-    mixed = mix64(PrefixHash(s.data, folded=True).of(s.starts, s.ends) + mix64(place.astype(np.uint64)))
+    mixed = mix64(mixed + mix64(place.astype(np.uint64)))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)])
     long = s.to - s.first >= MIN_SENTENCE
     first, to = s.first[long], s.to[long]
@@ -69,6 +77,73 @@ def _hashed_sentences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return mix64(sums[to] - sums[first]), of, first - s.of_text[of]
 
 
+def _stretches(hashes: np.ndarray) -> np.ndarray:
+    """The hash of each MIN_PASSAGE words, by the first one; those that cross texts too."""
+    n = len(hashes)
+    if n < MIN_PASSAGE:
+        return np.zeros(0, np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes) * _grown(0, _P, n)[:n], dtype=np.uint64)])
+    return mix64((sums[MIN_PASSAGE:] - sums[:-MIN_PASSAGE]) * _grown(1, _P_INVERSE, n)[: n - MIN_PASSAGE + 1])
+
+
+def _picked(grams: np.ndarray, of_text: np.ndarray) -> np.ndarray:
+    """The places of the smallest hash of each WINDOW stretches of one text, or of all its stretches if they are fewer."""
+    counts = np.maximum(0, np.diff(of_text) - MIN_PASSAGE + 1)
+    windows = np.where(counts > 0, np.maximum(1, counts - WINDOW + 1), 0)
+    total = int(windows.sum())
+    if not total:
+        return np.zeros(0, np.int64)
+    at = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(of_text[:-1], windows)
+    keyed = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    padded = np.concatenate([keyed, np.full(WINDOW, 2**64 - 1, np.uint64)])
+    least = _sliding_min(padded, WINDOW)[at]
+    for k in np.flatnonzero((counts > 0) & (counts < WINDOW)).tolist():  # the window must not reach into the next text
+        least[np.searchsorted(at, of_text[k])] = keyed[of_text[k] : of_text[k] + counts[k]].min()
+    return np.unique(least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _rows(h: np.ndarray, ids: np.ndarray, at: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """h, id, place << 3 | kind << 1 | sure, of rows in the order of id and place. What equals an earlier row is sure and gets a hash of its own."""
+    h = mix64(h + np.uint64(kind))
+    _, lead, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    head = lead[back]
+    sure = _late(ids, at, ids[head], at[head], np.full(len(h), kind))
+    h = np.where(sure, mix64(h + mix64(ids.astype(np.uint64) + mix64(at.astype(np.uint64)))), h)
+    if kind == PICK:
+        sure |= n[back] > 1
+    return h, ids, at << 3 | kind << 1 | sure
+
+
+def _late(id_: np.ndarray, at: np.ndarray, first_id: np.ndarray, first_at: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether a row repeats the first of its hash. Stretches that overlap each other in one document don't."""
+    return (id_ != first_id) | (at - first_at >= np.where(kind == SENTENCE, 1, MIN_PASSAGE))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """id, at, kind: the rows that repeat an earlier one, and all picks that another place has too. One sorted stream per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, told = None, False  # the first row of the last hash, and whether it is out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+            if held is not None:
+                x = np.concatenate([held[None], x])
+            lead = np.flatnonzero(np.concatenate([[True], x[1:, 0] != x[:-1, 0]]))
+            sizes = np.diff(np.append(lead, len(x)))
+            head = np.repeat(lead, sizes)
+            kind, at = x[:, 2] >> 1 & 3, x[:, 2] >> 3
+            out = (x[:, 2] & 1 == 1) | np.where(kind == PICK, np.repeat(sizes > 1, sizes), _late(x[:, 1], at, x[head, 1], at[head], kind))
+            told_now = bool(out[lead[-1]]) or (told and lead[-1] == 0)
+            out[0] &= not told
+            held, told = x[lead[-1]], told_now
+            yield pa.RecordBatch.from_arrays([pa.array(x[out, 1]), pa.array(at[out]), pa.array(kind[out].astype(np.int32))], names=["id", "at", "kind"])
+
+    keyed = rows.repartition("h").sortWithinPartitions("h", "id", "at")
+    return keyed.mapInArrow(run, "id long, at long, kind int")
+
+
 def passages(starts: np.ndarray, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """Joins repeated spans of bytes that few words part; start, end and words of those that are long enough.
 
@@ -90,7 +165,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The first occurrence (smallest id, then place) stays. Ids are integers, and below 2**(63 - LINE_BITS). Null and empty
     texts and rows with a null id have no passages. Rows that repeat an id with the same text are one document. Other
     columns are not read. A pair of paragraphs at the threshold is missed by all bands with a chance of 8e-4, one of
-    similarity 0.9 with 2e-6; equal ones never are.
+    similarity 0.9 with 2e-6; equal ones never are. An equal run of FOUND words (A-Z lower-cased) is always found, and to its
+    full length, wherever it starts and ends; in one document, only beyond MIN_PASSAGE words from the first place.
     """
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
@@ -98,18 +174,47 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lines = texts.select("id", F.posexplode(F.split("text", "\n", -1)).alias("n", "line")).filter(F.col("line").rlike(long_line))
     paragraphs = lines.select((F.shiftleft("id", LINE_BITS) + F.col("n")).alias("paragraph"), "line")
     same = near_duplicates(paragraphs, "paragraph", "line", percent=percent, bands=bands, rows=rows)
-    late_lines = same.filter("NOT kept").select(F.shiftright("paragraph", LINE_BITS).alias("id"), (F.col("paragraph") % (1 << LINE_BITS)).alias("at"), F.lit(True).alias("line"))
+    late_lines = same.filter("NOT kept").select(F.shiftright("paragraph", LINE_BITS).alias("id"), (F.col("paragraph") % (1 << LINE_BITS)).alias("at"), F.lit(LINE).alias("kind"))
+    names = ["h", "id", "at"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                hashes, of, at = _hashed_sentences(part.column(1))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), part.column(0).take(pa.array(of)), pa.array(at)], names=["h", "id", "at"])
-
-    said = texts.mapInArrow(hashed, "h long, id long, at long")
-    first = said.groupBy("h").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("h", "first")
-    late = said.join(first, "h").filter(F.struct("id", "at") > F.col("first")).select("id", "at", F.lit(False).alias("line"))
-    spans = materialize(late_lines.union(late), "repeats").groupBy("id").agg(F.collect_set(F.struct("at", "line")).alias("found"))
+                part = part.take(pc.sort_indices(part.column(0)))
+                ids, s = part.column(0).to_numpy(), sentences(part.column(1))
+                own = PrefixHash(s.data, folded=True).of(s.starts, s.ends)
+                h, of, at = _hashed_sentences(s, own)
+                said = _rows(h, ids[of], at, SENTENCE)
+                grams = _stretches(own)
+                place = _picked(grams, s.of_text)
+                of = np.searchsorted(s.of_text, place, side="right") - 1
+                picks = _rows(grams[place], ids[of], place - s.of_text[of], PICK)
+                h, id_, at = (np.concatenate(c) for c in zip(said, picks))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(id_), pa.array(at)], names=names)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                part = part.take(pc.sort_indices(part.column(0)))
+                ids = part.column(0).to_numpy()
+                data, bounds = joined_bytes(part.column(1))
+                starts, ends, of_text = words(data, bounds)
+                grams = _stretches(PrefixHash(data, folded=True).of(starts, ends))
+                reach = np.zeros(len(starts) + 1, np.int64)
+                for k, picks in enumerate(part.column(2).to_pylist()):
+                    at = np.array(picks) + of_text[k]
+                    np.add.at(reach, np.maximum(of_text[k], at - WINDOW + 1), 1)
+                    np.add.at(reach, np.minimum(of_text[k + 1] - MIN_PASSAGE + 1, at + WINDOW), -1)
+                place = np.flatnonzero(np.cumsum(reach) > 0)
+                of = np.searchsorted(of_text, place, side="right") - 1
+                h, id_, at = _rows(grams[place], ids[of], place - of_text[of], NEAR)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(id_), pa.array(at)], names=names)
+
+    found = materialize(_met(texts.mapInArrow(hashed, "h long, id long, at long")), "met")
+    shared = found.filter(F.col("kind") == PICK).groupBy("id").agg(F.collect_set("at").alias("picks"))
+    late = _met(texts.join(shared, "id").select("id", "text", "picks").mapInArrow(near, "h long, id long, at long"))
+    repeats = late_lines.union(found.filter(F.col("kind") == SENTENCE)).union(late)
+    spans = materialize(repeats, "repeats").groupBy("id").agg(F.collect_set(F.struct("at", "kind")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,13 +226,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 for k, (id_, found) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
                     begin, end = s.bounds[k : k + 2].tolist()
                     lines = [begin - 1, *s.newlines[slice(*np.searchsorted(s.newlines, (begin, end)))].tolist(), end]
-                    own = []
+                    own, stretches = [], sorted(int(s.of_text[k]) + f["at"] for f in found if f["kind"] == NEAR)
                     for f in found:
-                        if f["line"]:
+                        if f["kind"] == LINE:
                             own.append((lines[f["at"]] + 1, lines[f["at"] + 1]))
-                        else:
+                        elif f["kind"] == SENTENCE:
                             word = int(s.of_text[k]) + f["at"]
                             own.append((int(s.starts[word]), int(s.ends[until[word] - 1])))
+                    for n, word in enumerate(stretches):
+                        if not n or word > stretches[n - 1] + MIN_PASSAGE:
+                            first = word
+                        if n + 1 == len(stretches) or stretches[n + 1] > word + MIN_PASSAGE:
+                            own.append((int(s.starts[first]), int(s.ends[word + MIN_PASSAGE - 1])))
                     if gone := passages(s.starts, own):
                         ends = [begin, *(x for a, b, _ in gone for x in (a, b)), end]
                         kept = b"".join(s.data[a:b].tobytes() for a, b in zip(ends[::2], ends[1::2])).decode()

@@ -3,6 +3,8 @@
 import base64
 import collections
 import hashlib
+import itertools
+import random
 import re
 import zlib
 from itertools import combinations
@@ -212,3 +214,44 @@ def test_sharding(docs, corpus):
     assert len(even) == 4 and max(r.b for r in even) - min(r.b for r in even) < 2500
     by_size = kd_shards(docs, "doc_id", "text", dims, target_bytes=8000)
     assert by_size.select("shard").distinct().count() > 4
+
+
+def test_passage_dedup_without_sentences(spark):
+    """Runs of 50 words without sentence ends, from mid-sentence, over short lines, in one long line: the whole run goes."""
+    prose = lambda name, n: [f"{name}{k}" for k in range(n)]
+    runs = {1: " ".join(prose("plain", 50)), 2: "\n".join(f"{a} {b}." for a, b in zip(prose("list", 60)[::2], prose("list", 60)[1::2])), 3: " ".join(prose("mid", 20)) + ". " + " ".join(prose("Mid", 35)), 4: " ".join(prose("long", 400))}
+    rows = []
+    for n, run in runs.items():
+        for k in (10, 20):
+            rows.append((n + k, " ".join(prose(f"before{n}_{k}_", 40)) + " " + run + " " + " ".join(prose(f"after{n}_{k}_", 40))))
+    rows += [(50, " ".join(prose("some", 60))), (51, "SOME0 " + " ".join(prose("some", 60)[1:])), (52, "same " * 100)]
+    got = {r.doc_id: r for r in passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for n, run in runs.items():
+        assert [texts[n + 20][a:b] for a, b in got.pop(n + 20).spans] == [run], n
+    assert got.pop(51).kept_text == ""
+    assert got.pop(52).n_words == 70
+    assert not got
+
+
+def test_passage_dedup_finds_every_run(spark):
+    """Every word that a run of 50 words of an earlier place covers is removed, in documents of few words without sentence ends."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(3000)]
+    texts = {}
+    for i in range(60):
+        parts = []
+        for _ in range(4):
+            a = rng.randrange(2900)
+            parts += base[a : a + rng.randint(20, 90)] + [f"own{i}_{rng.randrange(99)}" for _ in range(rng.randint(0, 30))]
+        texts[i] = " ".join(parts)
+    got = {r.doc_id: r for r in passage_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)).collect()}
+    seen, some = {}, 0
+    for i, t in texts.items():
+        w = t.split(" ")
+        at = [0, *itertools.accumulate(len(x) + 1 for x in w)]
+        for k in range(len(w) - 49):
+            if seen.setdefault(tuple(w[k : k + 50]), i) != i:
+                some += 1
+                assert any(a <= at[k] and at[k + 50] - 1 <= b for a, b in got[i].spans), (i, k)
+    assert some > 20

@@ -93,6 +93,20 @@ def _iban(f: Feistel, m: re.Match) -> str | None:
     return "".join(c if c == " " else next(it) for c in m[0])
 
 
+#: The IBAN lengths of countries; of others every end is tried.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 "
+    "IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split()}
+
+
+def _iban_ends(m: re.Match) -> list[int]:
+    """Where the value may end: at its country's length, then as the pattern has it; anywhere between words if the country is unknown."""
+    ends = [m.start() + k for k in range(len(m[0]), 14, -1) if k == len(m[0]) or m[0][k] == " "]
+    length = IBAN_LENGTHS.get(m[0][:2])
+    return ends if length is None else [e for e in ends if len(m[0][: e - m.start()].replace(" ", "")) == length] + ends[:1]
+
+
 def _ssn(f: Feistel, m: re.Match) -> str | None:
     def valid(n: int) -> bool:
         area, group, serial = n // 10**6, n // 10**4 % 100, n % 10**4
@@ -114,23 +128,32 @@ def _phone(f: Feistel, m: re.Match) -> str | None:
     digits = re.sub(r"\D", "", m[0])
     if not 8 <= len(digits) <= 15:
         return None
-    lead = len(m["code"] or "")
-    return m[0][: m.end("code") - m.start()] + _refill(m[0][m.end("code") - m.start() :], f.digits(digits[lead:], 10, f"phone{digits[:lead]}")) if lead else _refill(m[0], f.digits(digits, 10, "phone"))
+    if m[0][0] != "+":
+        return _refill(m[0], f.digits(digits, 10, "phone"))
+    code = _COUNTRY_CODE.match(digits)[0]
+    return _refill(m[0], code + f.digits(digits[len(code) :], 10, f"phone{code}"))
+
+
+_COUNTRY_CODE = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 
 
 def _date(f: Feistel, m: re.Match) -> str | None:
-    if m["y"]:
-        y, mo, d, form = m["y"], m["m"], m["d"], "{y:04d}{s}{m:02d}{s}{d:02d}"
-    else:
-        y, mo, d, form = m["y2"], m["m2"], m["d2"], "{d:02d}{s}{m:02d}{s}{y:04d}"
+    y, mo, d, sep = (m["y"], m["m"], m["d"], m["s"]) if m["y"] else (m["y2"], m["m2"], m["d2"], m["s2"])
+    month_first = not m["y"] and int(mo) > 12
+    if month_first:
+        mo, d = d, mo
+    if m["y"] and sep == "." and len(mo + d) < 4:
+        return None
     try:
         day = (datetime.date(int(y), int(mo), int(d)) - FIRST_DAY).days
     except ValueError:
         return None
     if not 0 <= day < DAYS:
         return None
-    new = FIRST_DAY + datetime.timedelta(f.walk(day, 1 << 8, 1 << 9, "date", lambda n: n < DAYS))
-    return form.format(y=new.year, m=new.month, d=new.day, s=m["s"] or m["s2"])
+    # a date with the month first stays one that can't be read with the day first
+    new = FIRST_DAY + datetime.timedelta(f.walk(day, 1 << 8, 1 << 9, "date", lambda n: n < DAYS and (not month_first or (FIRST_DAY + datetime.timedelta(n)).day > 12)))
+    year, month, day_ = f"{new.year:04d}", f"{new.month:0{len(mo)}d}", f"{new.day:0{len(d)}d}"
+    return sep.join((year, month, day_) if m["y"] else (month, day_, year) if month_first else (day_, month, year))
 
 
 def _email(f: Feistel, m: re.Match) -> str | None:
@@ -164,12 +187,14 @@ KINDS: tuple[tuple[str, re.Pattern, Callable], ...] = (
     ("email", re.compile(r"(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
     ("secret", re.compile(r"(?P<lead>\b(?:token|secret|api[_-]?key|password)\s*[=:]\s*[\"']?)(?P<hex>[0-9a-f]{16,})(?![0-9a-zA-Z])", re.I), _secret),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"), _iban),
-    ("card", re.compile(r"(?<![\w.])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w.-]*\d)|(?<![\w.])3\d{3}[ -]?\d{6}[ -]?\d{5}(?!\w)"), _card),
+    ("card", re.compile(r"(?<![\w.+])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w.-]*\d)|(?<![\w.+])3\d{3}[ -]?\d{6}[ -]?\d{5}(?!\w)"), _card),
     ("ipv4", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), _ipv4),
-    ("date", re.compile(r"(?<![\w.])(?:(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{2})(?P=s)(?P<d>\d{2})|(?P<d2>\d{2})(?P<s2>[-/.])(?P<m2>\d{2})(?P=s2)(?P<y2>\d{4}))(?![\w]|\.\d)"), _date),
+    ("date", re.compile(r"(?<![\w.])(?:(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{1,2})(?P=s)(?P<d>\d{1,2})|(?P<d2>\d{1,2})(?P<s2>[-/.])(?P<m2>\d{1,2})(?P=s2)(?P<y2>\d{4}))(?![\w]|\.\d)"), _date),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), _ssn),
-    ("phone", re.compile(r"(?<![\w.])(?:\+(?P<code>\d{1,3})(?=[ (-])[ -]?)?(?:\(0?\d{2,4}\)|\d{2,4})[ -]\d{3}[ -]\d{2,4}(?:[ -]\d{2,4})?(?!\w)"), _phone),
+    ("phone", re.compile(r"(?<![\w.])(?:\+[1-9](?:[ .()-]{0,2}\d){7,14}|(?:\(0?\d{2,4}\)[ -]?|\d{2,4}[ -])\d{3}[ -]\d{2,4}(?:[ -]\d{2,4})?|(?:\(\d{3}\) ?|\d{3}\.)\d{3}\.\d{4})(?!\w|\.\d)"), _phone),
 )
+#: Where a match may end besides its own end, for kinds whose pattern can run on over what follows the value.
+ENDS: dict[str, Callable[[re.Match], list[int]]] = {"iban": _iban_ends}
 _MAYBE = re.compile(r"\d|@")
 
 
@@ -182,13 +207,18 @@ def pseudonymize(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, str,
     for kind, pattern, make in KINDS:
         done: list[tuple[bool, str]] = []
         for fixed, piece in pieces:
-            at = 0
-            for m in () if fixed else pattern.finditer(piece):
-                new = make(feistel, m)
-                if new is not None:
-                    found.append((kind, m[0], new))
-                    done += [(False, piece[at : m.start()]), (True, new)]
-                    at = m.end()
+            at, m = 0, None if fixed else pattern.search(piece)
+            while m:
+                next_ = m.start() + 1
+                for end in ENDS[kind](m) if kind in ENDS else (m.end(),):
+                    value = m if end == m.end() else pattern.fullmatch(piece, m.start(), end)
+                    new = make(feistel, value) if value else None
+                    if new is not None:
+                        found.append((kind, value[0], new))
+                        done += [(False, piece[at : value.start()]), (True, new)]
+                        at = next_ = end
+                        break
+                m = pattern.search(piece, next_)
             done.append((fixed, piece[at:]))
         pieces = done
     return "".join(p for _, p in pieces), found

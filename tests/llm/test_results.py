@@ -255,3 +255,27 @@ def test_passage_dedup_finds_every_run(spark):
                 some += 1
                 assert any(a <= at[k] and at[k + 50] - 1 <= b for a, b in got[i].spans), (i, k)
     assert some > 20
+
+
+@pytest.mark.parametrize(
+    "kind, text, value",
+    [("iban", t, v) for t, v in (("DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE89 3704 0044 0532 0130 00"), ("DE89370400440532013000 2024-01-02", "DE89370400440532013000"), ("GB82 WEST 1234 5698 7654 32 A", "GB82 WEST 1234 5698 7654 32"), ("AB12 CDEF DE89370400440532013000", "DE89370400440532013000"))]
+    + [("phone", t, t) for t in ("+49 30 12345678", "+33 1 23 45 67 89", "+4915112345678", "555.123.4567", "(555)123-4567", "(555) 123-4567", "030-555-1234")]
+    + [("date", t, t) for t in ("12/31/2020", "3/5/2021", "31.12.2020", "2020-12-31", "2021-3-5")],
+)
+def test_pseudonyms_of_values_in_context(kind, text, value):
+    new, found = pseudonymize(f"see {text}, thanks", Feistel(b"k"))
+    assert (kind, value) in [(k, v) for k, v, _ in found]
+    assert value not in new and new.startswith("see ") and new.endswith(", thanks")
+    again = next(p for k, v, p in found if v == value)
+    assert kind == "phone" or re.sub(r"\d", "", again) == re.sub(r"\d", "", value)
+
+
+def test_pseudonyms_leave_numbers_alone():
+    text = "v12.345.678 12.345.678 13/32/2020 2021.3.5 DE89370400440532013001"
+    assert pseudonymize(text, Feistel(b"k"))[1] == []
+    dates = ["12/31/2020", "31/12/2020", "3/5/2021", "03/05/2021", "5/3/2021"]
+    new = [pseudonymize(d, Feistel(b"k"))[0] for d in dates]
+    assert len(set(new)) == 5
+    spellings = [re.sub(r"\D", "", pseudonymize(t, Feistel(b"k"))[0]) for t in ("+4915112345678", "+49 151 12345678", "+49 (151) 123-45678")]
+    assert len(set(spellings)) == 1

@@ -23,7 +23,7 @@ from .shared import materialize, mix64, slices
 
 ANCHOR = 32
 CHUNK_BYTES = 4 << 20
-#: An anchor with more different stretches is dealt out by its windows, not as a whole.
+#: An anchor with more different stretches is dealt out by two hashes of its windows; their bytes never meet in one task.
 HOT_STRETCHES = 20_000
 
 
@@ -198,31 +198,42 @@ def _sorted_out(anchored: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "id long, start long, n long, h long")
 
 
-def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> DataFrame:
-    """key, id, start, n, piece: the bytes of the open stretches; those of hot anchors window by window."""
+def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
+    """key, id, start, n, piece: the bytes of the open stretches of bounded anchors. And k, k2, id, start: two hashes of each window of hot anchors, if there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 out = []
                 for id_, text, spans in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2).to_pylist()):
-                    if not spans:
-                        continue
-                    prefix = PrefixHash(np.frombuffer(text, np.uint8)) if any(s["hot"] for s in spans) else None
-                    for s in spans:
-                        a, n = s["start"], s["n"]
-                        if s["hot"]:
-                            starts = np.arange(a, a + n)
-                            keys = prefix.of(starts, starts + length).view(np.int64).tolist()
-                            out += [(k, id_, x, 1, text[x : x + length]) for k, x in zip(keys, range(a, a + n))]
-                        else:
-                            out.append((s["h"], id_, a, n, text[a : a + n - 1 + length]))
+                    out += [(s["h"], id_, s["start"], s["n"], text[s["start"] : s["start"] + s["n"] - 1 + length]) for s in spans or () if not s["hot"]]
                 columns = zip(*out) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.binary()])], names=["key", "id", "start", "n", "piece"])
 
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                for id_, text, spans in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2).to_pylist()):
+                    at = [np.arange(s["start"], s["start"] + s["n"]) for s in spans or () if s["hot"]]
+                    if at:
+                        at, data = np.concatenate(at), np.frombuffer(text, np.uint8)
+                        k, k2 = (PrefixHash(d).of(at, at + length).view(np.int64) for d in (data, data ^ np.uint8(0x5A)))
+                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(k2), pa.array(np.full(len(at), id_)), pa.array(at)], names=["k", "k2", "id", "start"])
+
     hot = open_.groupBy("h").agg(F.count("*").alias("many")).filter(F.col("many") > HOT_STRETCHES).select("h", F.lit(True).alias("hot"))
-    spans = open_.join(hot, "h", "left").groupBy("id").agg(F.collect_list(F.struct("start", "n", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
-    return texts.join(spans, "id", "left").select("id", "text", "spans").mapInArrow(run, "key long, id long, start long, n long, piece binary")
+    some = not hot.isEmpty()
+    flagged = open_.join(hot, "h", "left") if some else open_.withColumn("hot", F.lit(False))
+    spans = flagged.groupBy("id").agg(F.collect_list(F.struct("start", "n", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
+    held = texts.join(spans, "id", "left").select("id", "text", "spans")
+    pieces = held.mapInArrow(run, "key long, id long, start long, n long, piece binary")
+    return pieces, materialize(held.mapInArrow(windows, "k long, k2 long, id long, start long"), "hot-windows") if some else None
+
+
+def _later(windows: DataFrame) -> DataFrame:
+    """id, start, n: windows that an earlier one equals. Equal ones are reduced to the first in each task before they meet."""
+    first = windows.groupBy("k", "k2").agg(F.count("*").alias("many"), F.min(F.struct("id", "start")).alias("first")).filter("many > 1")
+    late = windows.join(first, ["k", "k2"]).filter(F.struct("id", "start") > F.col("first"))
+    return late.select("id", "start", F.lit(1).cast("long").alias("n"))
 
 
 def _compared(pieces: DataFrame, length: int) -> DataFrame:
@@ -278,7 +289,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must lie between {2 * ANCHOR} and {ANCHOR + 127}")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spans = materialize(_sorted_out(_anchored(texts.filter("id is not null"), length)), "stretches")
-    late = _compared(_gathered(texts, spans.filter("h is not null"), length), length)
+    pieces, windows = _gathered(texts, spans.filter("h is not null"), length)
+    late = _compared(pieces, length)
+    late = late.union(_later(windows)) if windows is not None else late
     gone = spans.filter("h is null").select("id", "start", "n").union(late).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

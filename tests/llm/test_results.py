@@ -279,3 +279,19 @@ def test_pseudonyms_leave_numbers_alone():
     assert len(set(new)) == 5
     spellings = [re.sub(r"\D", "", pseudonymize(t, Feistel(b"k"))[0]) for t in ("+4915112345678", "+49 151 12345678", "+49 (151) 123-45678")]
     assert len(set(spellings)) == 1
+
+
+def test_suffix_dedup_gathers_no_hot_key(spark, monkeypatch):
+    """A passage in many documents with different text around it: no key of gathered bytes has more rows than an anchor may."""
+    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", 5)
+    rng = random.Random(3)
+    noise = lambda: "".join(rng.choice("abcdefghijklmnop ") for _ in range(150))
+    passage = noise()
+    rows = [(k, noise() + passage + noise()) for k in range(60)]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    open_ = suffix_dedup._sorted_out(suffix_dedup._anchored(texts, 100)).filter("h is not null")
+    gathered = suffix_dedup._gathered(texts, open_, 100)
+    pieces = gathered[0] if isinstance(gathered, tuple) else gathered
+    assert (pieces.groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= 5
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup.remove_repeats(texts.withColumnRenamed("id", "doc_id")).collect()}
+    assert got == removed(rows, 100) and got[1][1] == 150

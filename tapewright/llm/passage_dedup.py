@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import _P, _P_INVERSE, PrefixHash, _grown, joined_bytes, words
+from .hashing import _P, _P_INVERSE, PrefixHash, joined_bytes, powers, words
 from .minhash_dedup import near_duplicates
 from .shared import SPACE_CLASS, materialize, mix64, slices
 from .suffix_dedup import _sliding_min
@@ -82,8 +82,8 @@ def _stretches(hashes: np.ndarray) -> np.ndarray:
     n = len(hashes)
     if n < MIN_PASSAGE:
         return np.zeros(0, np.uint64)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes) * _grown(0, _P, n)[:n], dtype=np.uint64)])
-    return mix64((sums[MIN_PASSAGE:] - sums[:-MIN_PASSAGE]) * _grown(1, _P_INVERSE, n)[: n - MIN_PASSAGE + 1])
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes) * powers(_P, n), dtype=np.uint64)])
+    return mix64((sums[MIN_PASSAGE:] - sums[:-MIN_PASSAGE]) * powers(_P_INVERSE, n - MIN_PASSAGE + 1))
 
 
 def _picked(grams: np.ndarray, of_text: np.ndarray) -> np.ndarray:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); set here only where it is unset."""
+    """The folder that all executors share (spark.checkpoint.dir). Where it is unset, a session in one process gets a new one; a cluster gets an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors and the driver share")
         found = "file://" + tempfile.mkdtemp(prefix="tapewright-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -48,21 +49,10 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(uri: str) -> str | None:
-    """The plain path of a file: URI or path; None if the folder is in another kind of store."""
-    if uri.startswith("file:"):
-        return "/" + uri[5:].lstrip("/")
-    return uri if "://" not in uri else None
-
-
 def sha256_hex(col) -> F.Column:
     return F.sha2(col.cast("binary"), 256)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """An invertible 64-bit finalizer (xor-shift and multiply), applied to each element."""
     x = x ^ (x >> np.uint64(32))
@@ -72,17 +62,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def slices(batch: pa.RecordBatch, text_at: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that a piece's texts hold at most so many bytes, or one text."""
+def slices(batch: pa.RecordBatch, text_at: int, most: int = 4_000_000, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that a piece's texts hold at most so many bytes, or one text, and so many rows."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        to = min(to, at + rows) if rows else to
         yield batch.slice(at, to - at)
         at = to
-
-
-def ensure_path(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path

@@ -34,9 +34,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (sets of 5-word shingles, similarity 0.8 or more)."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Keeps one document of each group of near copies (sets of 5-word shingles, similarity 0.8 or more).
+
+    Rows with a null id are no documents and stay; rows that repeat a kept id all stay.
+    """
+    gone = near_duplicates(docs).filter("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACES, materialize, slices
+from .shared import SPACES, clash, materialize, slices
 
 SLICE_BYTES = 1 << 16
 HASHES = 3
@@ -105,8 +105,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that at least two documents hold stays only in the document with the smallest id, in all its lines there. A null or
     empty text is one empty line. A row without an id keeps all its lines and counts as no document. Rows that repeat an
     id are one document. Columns that aren't carried are not read, so their names can't clash; carried ones must not be
-    named as the result's own columns. log2_bits sets the fixed size of each Bloom filter (27: 16 MB).
+    named as the result's own columns, id, text or drop. log2_bits sets the fixed size of each Bloom filter (27: 16 MB).
     """
+    clash(carry, id_col, ("n_lines", "n_dropped", "kept_text", "id", "text", "drop"))
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     filter_ = spark.sparkContext.broadcast(seen_twice(docs, id_col, text_col, min_chars, log2_bits))
 

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,7 +185,6 @@ def _across(members: DataFrame, count: int, least: float, forest: bool = False)
         component = rows.column("component").to_numpy().copy()
         signature, keys = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t).reshape(n, -1) for c, t in (("signature", np.uint64), ("keys", np.uint32)))
         ids = rows.column("id").combine_chunks()
-        order = pa.compute.rank(ids).to_numpy()
         rights = np.flatnonzero(side) if split else np.arange(n)
         for left in np.flatnonzero(~side).tolist() if split else range(n):
             rest = rights if split else rights[left + 1 :]
@@ -200,13 +198,11 @@ def _across(members: DataFrame, count: int, least: float, forest: bool = False)
                 rest = rest[best[firsts]]
                 component[np.isin(component, met)] = component[left]
             if len(rest):
-                own = np.full(len(rest), left)
-                up = order[rest] > order[left]
-                a, b = np.where(up, rest, own), np.where(up, own, rest)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rest)), ids.take(pa.array(np.full(len(rest), left)))], names=["a", "b"])
 
     keyed = cell.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return keyed.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    found = keyed.mapInArrow(run, f"a {kind}, b {kind}")
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, bands: int = 28, rows: int = 4) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices
+from .shared import clash, slices
 
 MARK = "▁"
 #: Pairs, and characters of stretches, remembered by a worker; a full memory is emptied, which changes no result.
@@ -190,6 +190,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     columns are not read, and carried ones must not be named as the result's own. The model file is read on the driver and its vocabulary, whose size the model fixes, is
     broadcast. Each row is worked on alone, so nothing is shuffled.
     """
+    clash(carry, id_col, ("ids", "decoded"))
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from .decontamination import find_leaks
 from .line_dedup import dedup_lines
 from .minhash_dedup import near_duplicates
-from .passage_dedup import repeated_passages
+from .passage_dedup import find_passages
 from .piece_codec import encode_decode
 from .pseudonyms import pseudonymize_documents
-from .quality_rules import BOILERPLATE, NAVIGATION, clean_lines
+from .quality_rules import BOILERPLATE, clean_lines
 from .sharding import kd_shards
 from .shared import sha256_hex, table
 from .suffix_dedup import remove_repeats
@@ -52,7 +52,7 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text")
+    return find_passages(table(spark, sf_dir, "documents"))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,15 +115,20 @@ WITH d AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
 ), again AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win WHERE n > 1) GROUP BY doc_id
+), item AS (
+  SELECT doc_id, l, list_transform(l, lambda x: len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) <= 3 AND length(x) <= 60
+    AND NOT regexp_matches(x, '[.!?:;,…。！？]["''”’»)\]\x20\x09-\x0D]*$')) AS f FROM d
 ), line AS (
-  SELECT DISTINCT doc_id, x, regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g') AS bare FROM (SELECT doc_id, unnest(l) AS x FROM d)
+  SELECT DISTINCT doc_id, l[i] AS x, regexp_replace(l[i], '[\x20\x09-\x0D]+', '', 'g') AS bare FROM (SELECT doc_id, l, f, unnest(range(1, len(l) + 1)) AS i FROM item)
+  WHERE NOT (f[i] AND ((i > 1 AND f[i - 1] AND ((i > 2 AND f[i - 2]) OR coalesce(f[i + 1], false))) OR (coalesce(f[i + 1], false) AND coalesce(f[i + 2], false))))
+), counted AS (
+  SELECT doc_id, x, bare, len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS words, len(regexp_extract_all(bare, '[|»›•·]')) AS separators FROM line
 ), stay AS (
-  SELECT doc_id, count(*) AS n, sum(len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> ''))) AS words FROM line WHERE NOT (
+  SELECT doc_id, count(*) AS n, sum(words) AS words FROM counted WHERE NOT (
     len(regexp_extract_all(bare, '[#*$%&|<>{{}}\[\]=~^`\\]')) > 0.1 * length(bare)
     OR (len(regexp_extract_all(bare, '[!?]')) - len(regexp_extract_all(bare, '[!?]+'))) * 12 > 0.3 * length(bare)
-    OR len(regexp_extract_all(bare, '[|»›•·]')) >= 3
-    OR (NOT regexp_matches(x, '(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]){{4}}[^\x20\x09-\x0D]') AND NOT regexp_matches(x, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') AND regexp_matches(x, '(?i)\b(?:{'|'.join(NAVIGATION)})\b'))
-    OR regexp_matches(x, '(?i)\b(?:{'|'.join(BOILERPLATE)})\b')) GROUP BY doc_id
+    OR (separators >= 3 AND separators * 60 >= length(bare))
+    OR (words <= 12 AND length(x) <= 240 AND regexp_matches(x, '(?i)©|\(c\) ?\d{{4}}|\b(?:{'|'.join(BOILERPLATE)})\b'))) GROUP BY doc_id
 ), base AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(a.n, 0)::BIGINT AS n_repeat_words, (len(l) - coalesce(s.n, 0))::BIGINT AS n_failed_lines, coalesce(s.words, 0)::BIGINT AS kept_words

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,13 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clash(carry: Sequence[str], id_col: str, made: Sequence[str]) -> None:
+    """An error for carried columns that are named as the id or as a column that the operator makes (in any case)."""
+    taken = {c.lower() for c in (id_col, *made)}
+    if found := sorted(c for c in carry if c.lower() in taken):
+        raise ValueError(f"carried columns are named as the result's own: {', '.join(found)}")
+
+
 def sha256_hex(col) -> F.Column:
     return F.sha2(col.cast("binary"), 256)
 

@@ -1,32 +1,44 @@
 """run() against a plain Python version of all five stages."""
 
+import collections
 import re
 
 import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
-from tapewright.llm.quality_rules import BOILERPLATE, NAVIGATION
+from tapewright.llm.quality_rules import BOILERPLATE
 
 from .test_results import LOWER, SPACES, components, words
 
 
 def line_fails(line):
-    bare = re.sub(r"[\x20\x09-\x0D]+", "", line)
-    symbols, shouts = len(re.findall(r"[#*$%&|<>{}\[\]=~^`\\]", bare)), len(re.findall(r"[!?](?=[!?])", bare))
-    few = not re.search(r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]){4}[^\x20\x09-\x0D]", line)
-    ends = re.search(r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$""", line)
-    phrase = lambda phrases: re.search(rf"(?i)\b(?:{'|'.join(phrases)})\b", line)
-    navigation = len(re.findall(r"[|»›•·]", bare)) >= 3 or (few and not ends and phrase(NAVIGATION))
-    return symbols > 0.1 * len(bare) or shouts * 12 > 0.3 * len(bare) or navigation or phrase(BOILERPLATE)
+    bare, n = re.sub(r"[\x20\x09-\x0D]+", "", line), len(words(line))
+    symbols, shouts = len(re.findall(r"[#*$%&|<>{}\[\]=~^`\\]", bare)), len(re.findall(r"(?<=[!?])[!?]", bare))
+    separators = len(re.findall(r"[|»›•·]", bare))
+    notice = n <= 12 and len(line) <= 240 and re.search(rf"(?i)©|\(c\) ?\d{{4}}|\b(?:{'|'.join(BOILERPLATE)})\b", line)
+    return symbols > 0.1 * len(bare) or shouts * 12 > 0.3 * len(bare) or (separators >= 3 and separators * 60 >= len(bare)) or notice
+
+
+def menu_item(line):
+    return len(words(line)) <= 3 and len(line) <= 60 and not re.search(r"""[.!?:;,…。！？]["'”’»)\]]*$""", re.sub(r"[\x20\x09-\x0D]+", "", line))
+
+
+def clean_of(text):
+    """The lines that stay, whatever becomes of the document."""
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    items = [menu_item(x) for x in lines]
+    runs = [any(k >= 0 and all(items[k : k + 3]) and len(items[k : k + 3]) == 3 for k in (i - 2, i - 1, i)) for i in range(len(lines))]
+    return "\n".join(x for x in dict.fromkeys(x for x, r in zip(lines, runs) if not r) if not line_fails(x))
 
 
 def cleaned(text):
     w = words(text)
-    windows = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
-    repeat = {k + d for k, x in enumerate(windows) if windows.count(x) > 1 for d in range(3)}
-    lines = list(dict.fromkeys(x for x in (text or "").split("\n") if words(x)))
-    kept = "\n".join(x for x in lines if not line_fails(x))
+    windows = collections.defaultdict(list)
+    for k in range(len(w) - 2):
+        windows[tuple(w[k : k + 3])].append(k)
+    repeat = {k + d for ks in windows.values() if len(ks) > 1 for k in ks for d in range(3)}
+    kept = clean_of(text)
     return None if len(w) < 50 or 2 * len(repeat) > len(w) or len(words(kept)) < 0.5 * len(w) else kept
 
 

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -200,6 +201,39 @@ def test_quality_rules_lines(spark):
     assert not got[3].base_failed and not got[3].kept
 
 
+def test_quality_rules_verdicts(spark, docs, corpus):
+    """Every verdict and cleaned text against plain Python, on texts with menus, notices, shouts and symbols among good lines."""
+    from .test_pipeline import clean_of, cleaned
+
+    rng = random.Random(4)
+    good = lambda: " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randint(4, 30))) + rng.choice([".", "", "!", '."'])
+    odd = ["Home", "About us", "Log in", "Shop »", "Say it.", "a | b | c | d", "A » B » C", "© 2020 Someone", "(c) 1999 x", "All rights reserved.", "Buy!! now!! today!!", "x## y## z$$ w%%", "", "  ", "no end", "Ünî cödé !?", "Buy it, now", 'He said "no."']
+    rows = [(1000 + k, "\n".join(rng.choice(odd) if rng.random() < 0.5 else good() for _ in range(rng.randint(1, 14)))) for k in range(150)]
+    texts = [*rows, *((i, t) for i, t in corpus)]
+    got = {r.doc_id: r for r in clean_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, t in texts:
+        assert got[i].clean_text == clean_of(t), t
+        assert got[i].kept == (cleaned(t) is not None), t
+    assert 10 < sum(r.kept for r in got.values()) < len(got) - 10
+
+
+def test_quality_rules_keep_articles_in_one_line(spark):
+    """A phrase in a long line is prose; a long word, or a text of one line, takes no more than linear time."""
+    article = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, f"{article} a car powered by hydrogen {article.upper()}"), (2, f"{article} and all rights reserved."), (3, "x" * 1_000_000), (4, '."' * 500_000), (5, "!?" * 500_000)]
+    began = time.time()
+    got = {r.doc_id: r for r in clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert got[1].kept and got[2].kept and got[1].n_failed_lines == got[2].n_failed_lines == 0
+    assert got[3].n_words == 1 and not got[3].kept
+
+
+@pytest.mark.parametrize("name", ["n_words", "KEPT", "doc_id"])
+def test_carried_columns_must_not_clash(spark, name):
+    with pytest.raises(ValueError, match="result's own"):
+        clean_lines(spark.createDataFrame([(1, "x")], "doc_id long, text string").withColumn("KEPT", F.lit(1)), carry=[name])
+
+
 def test_sharding(docs, corpus):
     dims = {"bytes": F.octet_length("text"), "source": F.crc32(F.col("source").cast("binary"))}
     got = kd_shards(docs, "doc_id", "text", dims, n_shards=16).collect()

@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed is the hash of the tokens under a mask; the tokens that the mask leaves out may differ. MASKS hit every stretch
-of MIN_TOKENS tokens with up to two substitutions, wherever these fall. Seeds of the benchmark fill a Bloom filter of a
+of MIN_TOKENS tokens or more in which a fifth is substituted, wherever the substitutions fall: tests go through all of
+them for 13 tokens with 2, 15 with 3, 20 with 4 and 25 with 5. A stretch of fewer than 26 tokens holds one of these, and a
+longer one has a half that is no worse than a fifth. SHORT_MASKS do the same for whole items of 5 to 12 tokens. Seeds of the benchmark fill a Bloom filter of a
 fixed size; seeds of the documents that pass it are joined with the benchmark's, and each hit's diagonal is then
 verified on the whole texts.
 """
@@ -19,22 +21,24 @@ from .hashing import word_hashes
 from .line_dedup import _bits, _has, _set
 from .shared import materialize, mix64, slices
 
-MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
+# Masks found by a search over all masks of that many tokens.
+MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 6, 8, 9), (0, 1, 3, 7, 8, 9), (0, 1, 2, 3, 4, 5))
+SHORT_MASKS = ((0, 1, 2, 4), (0, 2, 3, 4), (0, 1, 2, 3), (0, 1, 3, 4))
 MIN_TOKENS = 13
-#: Benchmark items of fewer tokens than MIN_TOKENS must be met whole; this plain seed finds them.
-SHORT_SEED = tuple(range(5))
+SHORTEST_ITEM = 5
 LOG2_BITS = 24
+TOKEN_GAP = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
 
-def _seeds(tokens: np.ndarray, bounds: np.ndarray, masks: tuple[tuple[int, ...], ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _seeds(tokens: np.ndarray, bounds: np.ndarray, masks: tuple[tuple[int, ...], ...], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text number and token place (in its text) of each seed that lies within one text."""
     sizes = np.diff(bounds)
     text = np.repeat(np.arange(len(sizes)), sizes)
     left = np.repeat(bounds[1:], sizes) - np.arange(len(text))  # tokens from here to the text's end
     out = []
-    for number, mask in enumerate(masks):
+    for number, mask in enumerate(masks, first):
         at = np.flatnonzero(left > mask[-1])
-        seed = np.full(len(at), number + 1, np.uint64)
+        seed = np.full(len(at), number, np.uint64)
         for k in mask:
             seed = seed * np.uint64(0x9E3779B97F4A7C15) + tokens[at + k]
         out.append((mix64(seed), text[at], at - bounds[text[at]]))
@@ -42,14 +46,24 @@ def _seeds(tokens: np.ndarray, bounds: np.ndarray, masks: tuple[tuple[int, ...],
 
 
 def _seed_rows(texts: DataFrame, short: bool, filter_=None) -> DataFrame:
-    """seed, id, place for each text's seeds, or for those that the filter lets pass; a repeat in one text counts each time."""
+    """seed, id, place for each text's seeds, or for those that the filter lets pass; a repeat in one text counts each time.
+
+    Without a filter the texts are benchmark items: of these, the short ones alone have seeds by SHORT_MASKS.
+    """
     kind = texts.schema["id"].dataType.simpleString()
-    masks = (*MASKS, SHORT_SEED) if short else MASKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                seed, text, place = _seeds(*word_hashes(part.column(1), bare=True), masks)
+                tokens, bounds = word_hashes(part.column(1), bare=True)
+                found = [_seeds(tokens, bounds, MASKS, 1)]
+                if short:
+                    found.append(_seeds(tokens, bounds, SHORT_MASKS, 1 + len(MASKS)))
+                if filter_ is None and short:
+                    size = np.diff(bounds)
+                    small = (size[found[1][1]] < MIN_TOKENS) & (size[found[1][1]] >= SHORTEST_ITEM)
+                    found[1] = tuple(x[small] for x in found[1])
+                seed, text, place = (np.concatenate(x) for x in zip(*found))
                 if filter_ is not None:
                     keep = _has(filter_.value, _bits(seed, LOG2_BITS))
                     seed, text, place = seed[keep], text[keep], place[keep]
@@ -97,8 +111,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Tokens are stretches without white space and ASCII punctuation, A-Z lower-cased. An overlap is an aligned stretch of
     MIN_TOKENS tokens at least, or the whole item if that is shorter, of which `percent` percent are equal; the row shows
-    the longest (then first) one. Items of fewer than 5 tokens are too short to tell from chance and never match. Null
-    texts are empty; rows with a null id are left out; documents or items that repeat an id are one; other columns are
+    the longest (then first) one. Items of fewer than SHORTEST_ITEM tokens are too short to tell from chance and never match.
+    No overlap is missed. Null texts are empty; rows with a null id are left out; documents or items that repeat an id are one; other columns are
     not read. Without documents or items there are no rows.
     """
     spark = docs.sparkSession
@@ -106,7 +120,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items, texts = named(benchmark, item_col, item_text_col), named(docs, id_col, text_col)
     test = materialize(_seed_rows(items, True), "benchmark-seeds")
     filter_ = spark.sparkContext.broadcast(_filter(test))
-    hits = _seed_rows(texts, True, filter_)
+    size = F.size(F.split(F.col("text"), TOKEN_GAP, -1))  # a text of n tokens has at most n + 2 pieces
+    short = not items.filter(size <= MIN_TOKENS + 1).isEmpty()
+    hits = _seed_rows(texts, short, filter_)
     joined = hits.join(test.select("seed", F.col("id").alias("item"), F.col("place").alias("item_place")), "seed")
     diagonals = joined.select("id", "item", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct()
     held = materialize(diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item"), "hits")

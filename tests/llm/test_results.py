@@ -59,10 +59,56 @@ def test_decontamination(spark, docs, corpus):
     assert all(100 * r.n_equal >= 80 * r.n_tokens and r.n_tokens >= 13 for r in found)
 
 
-def test_masks_hit_every_pair_of_substitutions():
-    n = decontamination.MIN_TOKENS
-    for pair in combinations(range(n), 2):
-        assert any(all(o + k not in pair for k in mask) for mask in decontamination.MASKS for o in range(n - mask[-1]))
+def _missed(masks, size, changes, inside=0):
+    """The patterns of so many changed places, at least `inside` places from both ends, that no mask hits."""
+    return [c for c in combinations(range(inside, size - inside), changes) if not any(all(o + k not in c for k in m) for m in masks for o in range(size - m[-1]))]
+
+
+@pytest.mark.parametrize("size, changes", [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_masks_hit_all_patterns_of_a_fifth(size, changes):
+    assert _missed(decontamination.MASKS, size, changes) == []
+
+
+@pytest.mark.parametrize("size", range(5, 13))
+def test_short_masks_hit_all_patterns_of_a_fifth(size):
+    assert _missed(decontamination.SHORT_MASKS, size, size // 5, inside=1) == []
+
+
+def test_decontamination_finds_every_overlap(spark):
+    """All pairs of documents and items by brute force: whole, changed, cut, short, repeated and absent items."""
+    rng = random.Random(8)
+    word = lambda: f"t{rng.randrange(4000)}"
+    items, docs = [], []
+    for k in range(80):
+        item = [word() for _ in range(rng.choice([3, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, 15, 16, 20, 25, 33]))]
+        copy = list(item)
+        for p in rng.sample(range(len(item)), rng.randint(0, len(item) // 4)):
+            copy[p] = "other"
+        if rng.random() < 0.3:
+            copy = copy[rng.randrange(5) : len(copy) - rng.randrange(5)]
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join([*(word() for _ in range(rng.randint(0, 40))), *copy, *(word() for _ in range(rng.randint(0, 40)))]).replace("t1", "T1, ")))
+    fifteen = [f"s{k}" for k in range(15)]
+    items += [(100, " ".join(fifteen)), (101, items[9][1]), (101, items[9][1]), (102, None), (103, "a b c d e a b c d e a b c")]
+    docs += [(100, "x " + " ".join("y" if k in (2, 7, 11) else w for k, w in enumerate(fifteen)) + " z"), (101, None), (None, items[9][1]), (103, "a b c d e " * 8), (9, docs[9][1])]
+    text = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("id", "item_id", "seed", "place", "found", "start")})
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumns({c: F.lit("x") for c in ("id", "doc_id", "item", "seed")})
+    got = {(r.doc_id, r.item_id): (r.n_tokens, r.n_equal, r.item_tokens) for r in decontamination.find_leaks(text, bench).collect()}
+    tokens = lambda t: re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+", (t or "").translate(LOWER))
+    want = {}
+    for i, d in {(i, d) for i, d in docs if i is not None}:
+        doc = tokens(d)
+        for j, t in {(j, t) for j, t in items}:
+            item = tokens(t)
+            for shift in range(-len(item), len(doc)):
+                same = [doc[shift + k] == item[k] for k in range(max(0, -shift), min(len(item), len(doc) - shift))]
+                ends = [k for k, s in enumerate(same) if s]
+                for a, b in itertools.product(ends, ends):
+                    n, equal = b - a + 1, sum(same[a : b + 1])
+                    if len(item) >= 5 and n >= min(13, len(item)) and 100 * equal >= 80 * n:
+                        want[i, j] = max(want.get((i, j), (0, 0, 0)), (n, equal, len(item)))
+    assert got == want and (100, 100) in got and (103, 103) in got
+    assert decontamination.find_leaks(text, bench.filter("item_id = 100")).count() == 1
 
 
 def test_piece_codec(docs, corpus):

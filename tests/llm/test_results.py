@@ -296,6 +296,45 @@ def test_sharding(docs, corpus):
     assert by_size.select("shard").distinct().count() > 4
 
 
+def kd_tree(rows, depth, spread):
+    """rows: (size, axes, id); the leaf of each row by recursion, as the operator's docstring has it."""
+    if not depth or not rows:
+        return {r: 0 for r in rows}
+    axes = list(zip(*(r[1] for r in rows)))
+    width = lambda a, k: (max(x for x in a if x is not None) - min(x for x in a if x is not None)) / max(1, spread[k]) if any(x is not None for x in a) else 0.0
+    k = max(range(len(spread)), key=lambda k: (len(set(axes[k])) > 1, width(axes[k], k), -k))
+    low = lambda x: -(2**61) if x is None else x
+    order = sorted(rows, key=lambda r: (low(r[1][k]), low(r[1][-1])))
+    half, run, cut = sum(r[0] for r in rows) / 2, 0, 0
+    for at, r in enumerate(order):
+        if run + r[0] >= half:
+            cut = at + 1 if run == 0 or (at + 1 < len(order) and 2 * (half - run) >= r[0]) else at
+            break
+        run += r[0]
+    left, right = kd_tree(order[:cut], depth - 1, spread), kd_tree(order[cut:], depth - 1, spread)
+    return left | {r: v + 2 ** (depth - 1) for r, v in right.items()}
+
+
+@pytest.mark.parametrize("ids", ["small", "wide"])
+def test_sharding_by_brute_force(spark, ids):
+    """Every row's leaf against a plain k-d tree, with ids over all 64 bits, null dimensions and equal texts."""
+    rng = random.Random(2)
+    some = rng.sample(range(500), 300) if ids == "small" else [-(2**63), 2**63 - 1, -(2**62) - 7, None, *(rng.randrange(-(2**63), 2**63) for _ in range(296))]
+    rows = [(i, rng.choice(["same text " * 9, "x" * rng.randrange(2000), "", None]), rng.choice(["en", "de", "fr", None])) for i in some]
+    lang = lambda x: None if x is None else zlib.crc32(x.encode())
+    plain = [(len(t or "") + 1, (None if t is None else len(t), lang(g), i), i) for i, t, g in rows]
+    spread = [max(x for r in plain if (x := r[1][k]) is not None) - min(x for r in plain if (x := r[1][k]) is not None) for k in range(3)]
+    want = {r[2]: leaf for r, leaf in kd_tree(plain, 4, spread).items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = kd_shards(docs, "doc_id", "text", {"bytes": F.octet_length("text"), "lang": F.crc32(F.col("lang").cast("binary"))}, n_shards=16).collect()
+    assert {r.doc_id: r.shard for r in got} == want
+    sums = collections.Counter()
+    for r in got:
+        sums[r.shard] += r["size"]
+    mean, largest = sum(sums.values()) / 16, max(r["size"] for r in got)
+    assert len(sums) == 16 and all(abs(s - mean) < largest for s in sums.values())
+
+
 def test_passage_dedup_without_sentences(spark):
     """Runs of 50 words without sentence ends, from mid-sentence, over short lines, in one long line: the whole run goes."""
     prose = lambda name, n: [f"{name}{k}" for k in range(n)]

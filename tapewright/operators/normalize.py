@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Context, Decimal
 
 import pandas as pd
@@ -52,11 +53,18 @@ def normalize_quotes(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
-def normalize_dividends(raw: DataFrame) -> DataFrame:
+def _keyed(kind: str, raw: DataFrame, fields: Sequence[Column | str], carry: Sequence[str]) -> DataFrame:
+    rows = raw.select(*fields, *carry)
+    own = [c for c in rows.columns if c not in carry]
+    return rows.withColumn("event_key", event_key(kind, own)).withColumn("status", F.lit("active"))
+
+
+def normalize_dividends(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Dividends with their event key, which depends on all business fields; carried columns don't count."""
     dates = (("date", "event_date"), ("declarationDate", "declaration_date"), ("recordDate", "record_date"), ("paymentDate", "payment_date"))
     value = parsed_decimal(_column(raw, "value"))
-    rows = raw.select(*IDENTITY, *[F.to_date(_column(raw, n)).alias(a) for n, a in dates], _must(value.isNotNull(), value.cast("string"), "a dividend has no valid value").cast("decimal(38,18)").alias("value"), _column(raw, "currency").alias("currency"), _column(raw, "period").alias("period"))
-    return rows.withColumn("event_key", event_key("dividend", rows.columns)).withColumn("status", F.lit("active"))
+    rows = (*IDENTITY, *[F.to_date(_column(raw, n)).alias(a) for n, a in dates], _must(value.isNotNull(), value.cast("string"), "a dividend has no valid value").cast("decimal(38,18)").alias("value"), _column(raw, "currency").alias("currency"), _column(raw, "period").alias("period"))
+    return _keyed("dividend", raw, rows, carry)
 
 
 def split_factor(ratios: pd.Series) -> pd.Series:
@@ -74,13 +82,14 @@ def split_factor(ratios: pd.Series) -> pd.Series:
     return ratios.map(factor, na_action="ignore").astype(object).where(ratios.notna(), None)
 
 
-def normalize_splits(raw: DataFrame) -> DataFrame:
+def normalize_splits(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Splits with their factor and event key; carried columns don't count in the key."""
     given = _column(raw, "split_factor", "splitFactor")
     made = F.pandas_udf(split_factor, "string")(_column(raw, "split"))
     factor = F.coalesce(given, made)
     ok = factor.isNull() | (parsed_decimal(factor) > 0)
-    rows = raw.select(*IDENTITY, F.to_date(_column(raw, "date")).alias("event_date"), _column(raw, "split").alias("split_ratio"), _must(ok, factor, "a split's factor is not positive").alias("split_factor"))
-    return rows.withColumn("event_key", event_key("split", rows.columns)).withColumn("status", F.lit("active"))
+    rows = (*IDENTITY, F.to_date(_column(raw, "date")).alias("event_date"), _column(raw, "split").alias("split_ratio"), _must(ok, factor, "a split's factor is not positive").alias("split_factor"))
+    return _keyed("split", raw, rows, carry)
 
 
 def with_availability(rows: DataFrame, date_col: str) -> DataFrame:

@@ -78,6 +78,11 @@ def last_dates(rows: DataFrame, date_col: str = "trade_date") -> DataFrame:
     return rows.groupBy(*IDENTITY).agg(F.max(date_col).alias("last_date"))
 
 
+def _inside(start: Column | None) -> Column:
+    """Whether an event lies in the window; one without a date can't lie before it."""
+    return ~F.coalesce(F.col("event_date") < start, F.lit(False)) if start is not None else F.lit(True)
+
+
 def reconcile_actions(previous: DataFrame, current: DataFrame, start: Column | None = None) -> DataFrame:
     """Merged events with their status. previous, current: identity, event_date, event_key, status and more.
 
@@ -85,7 +90,7 @@ def reconcile_actions(previous: DataFrame, current: DataFrame, start: Column | N
     retracted. Without a start all previous events lie in the window. Equal content collapses.
     """
     keys = [*IDENTITY, "event_key"]
-    inside = F.col("event_date") >= start if start is not None else F.lit(True)
+    inside = _inside(start)
     before = previous.filter(~inside)
     now = current.dropDuplicates(keys).withColumn("status", F.lit("active"))
     gone = previous.filter(inside).join(now.select(*keys), keys, "left_anti").withColumn("status", F.lit("retracted"))
@@ -95,7 +100,7 @@ def reconcile_actions(previous: DataFrame, current: DataFrame, start: Column | N
 def action_counts(previous: DataFrame, current: DataFrame, start: Column | None = None) -> DataFrame:
     """One row: added, removed, corrections (an added and a removed event of one date) and retractions (the other removals)."""
     keys = [*IDENTITY, "event_key"]
-    inside = F.col("event_date") >= start if start is not None else F.lit(True)
+    inside = _inside(start)
     was, now = previous.filter(inside & (F.col("status") == "active")), current.dropDuplicates(keys)
     added = now.join(was.select(*keys), keys, "left_anti").select(*IDENTITY, "event_date", F.lit(1).alias("added"), F.lit(0).alias("removed"))
     removed = was.join(now.select(*keys), keys, "left_anti").select(*IDENTITY, "event_date", F.lit(0).alias("added"), F.lit(1).alias("removed"))

@@ -15,15 +15,10 @@ COLUMNS = (*(f"wilder_{n}" for n in RSI_PERIODS), *(f"ema_{n}" for n in EMA_PERI
 
 
 def _strength(gain: float, loss: float) -> float:
-    """100 * gain / (gain + loss) by the logistic of the logarithms, which neither overflows nor loses the small side."""
-    if gain == 0 and loss == 0:
-        return math.nan
-    if loss == 0 or gain == 0:
-        return 100.0 if loss == 0 else 0.0
-    x = math.log(gain) - math.log(loss)
-    if abs(x) >= 700:
-        return 100.0 if x > 0 else 0.0
-    return 100 / (1 + math.exp(-x)) if x >= 0 else 100 * math.exp(x) / (1 + math.exp(x))
+    """The share of gains in all movement, in percent; without movement there is none."""
+    if gain == 0:
+        return 0.0 if loss > 0 else math.nan
+    return 100 / (1 + loss / gain)
 
 
 def wilder_rsi(prices: Sequence[float], period: int) -> np.ndarray:
@@ -78,7 +73,7 @@ def with_recurrences(rows: DataFrame) -> DataFrame:
         made = {f"wilder_{n}": wilder_rsi(prices, n) for n in RSI_PERIODS} | {f"ema_{n}": exponential_average(prices, n) for n in EMA_PERIODS}
         made["macd"] = made["ema_12"] - made["ema_26"]
         made["signal"] = exponential_average(made["macd"].tolist(), SIGNAL_PERIOD, any_sign=True)
-        return group.assign(**{k: pd.Series(v, index=group.index).astype(object).where(~np.isnan(v), None) for k, v in made.items()})[[*names, *COLUMNS]]
+        return group.assign(**made)[[*names, *COLUMNS]]  # NaN reaches Spark as null
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.groupBy(*KEYS).applyInPandas(run, f"{schema}, " + ", ".join(f"{c} double" for c in COLUMNS))

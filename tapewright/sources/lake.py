@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,40 +46,76 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{versions[-1]:010d}") if versions else spark.createDataFrame([], MANIFEST)
 
 
-def read_dataset(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The rows of the folders that the manifest lists, and of no others."""
-    paths = sorted(f"{root}/{r['path']}" for r in read_manifest(spark, root).select("path").toLocalIterator())
+def _guarded(root: str, path: str) -> str:
+    """A manifest's path below root; one that leads elsewhere is an error."""
+    return "/".join([root, *map(safe_part, path.split("/"))])
+
+
+def partition_label(by: Sequence[str]) -> Column:
+    """Names a row's partition, differently for different values: odd characters are percent-encoded, null is %null."""
+    return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("%null"))) for c in by])
+
+
+def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: DataFrame | None = None) -> DataFrame:
+    """The rows of the folders that the manifest lists, and of no others. only: a table of the partitions to read."""
+    listed = read_manifest(spark, root)
+    listed = listed if only is None else listed.join(only.select("partition"), "partition", "left_semi")
+    paths = sorted(_guarded(root, r["path"]) for r in listed.select("path").toLocalIterator())
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def publish(rows: DataFrame, root: str, by: Sequence[str], published_at: datetime) -> int:
-    """Makes rows the dataset's new state, by partitions of the `by` columns. Returns how many partitions were written."""
+def publish(rows: DataFrame, root: str, by: Sequence[str], published_at: datetime, partial: bool = False) -> int:
+    """Makes rows the dataset's new state, by partitions of the `by` columns. Returns how many partitions were written.
+
+    partial: only the partitions that rows have get a new state; the others stay. A partition is reused if its fingerprint,
+    which covers names and values of all columns, and its row count are as listed.
+    """
     spark = rows.sparkSession
-    label = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"[^\w.-]", "_"), F.lit("null"))) for c in by])
-    named = rows.withColumn("_partition", label)
+    named = rows.withColumn("_partition", partition_label(by))
     now = fingerprint(named, ["_partition"]).withColumnRenamed("_partition", "partition")
-    old = read_manifest(spark, root).select("partition", "fingerprint", F.col("row_count").alias("old_count"), F.col("path").alias("old_path"))
+    listed = read_manifest(spark, root)
+    old = listed.select("partition", "fingerprint", F.col("row_count").alias("old_count"), F.col("path").alias("old_path"))
     plan = now.join(old, ["partition", "fingerprint"], "left").withColumn("same", F.col("old_count").eqNullSafe(F.col("row_count")))
     versions = _versions(spark, root)
     version, staging = (versions[-1] if versions else 0) + 1, f"data/{uuid.uuid4().hex}"
     changed = plan.filter("NOT same").select(F.col("partition").alias("_partition"))
-    todo = named.join(changed, "_partition", "left_semi").withColumn("_folder", F.regexp_replace("_partition", "/", ";"))
+    todo = named.join(changed, "_partition", "left_semi").withColumn("_folder", F.sha2("_partition", 256))
     todo.drop("_partition").write.partitionBy("_folder").option("compression", "zstd").parquet(f"{root}/{staging}")
-    folder = F.concat(F.lit(f"{staging}/_folder="), F.regexp_replace(F.regexp_replace("partition", "=", "%3D"), "/", ";"))
-    manifest = plan.select(F.lit(version).cast("long").alias("version"), F.lit(published_at).alias("published_at_utc"), "partition", F.when(F.col("same"), F.col("old_path")).otherwise(folder).alias("path"), "row_count", "fingerprint")
+    folder = F.concat(F.lit(f"{staging}/_folder="), F.sha2("partition", 256))
+    manifest = plan.select("partition", F.when(F.col("same"), F.col("old_path")).otherwise(folder).alias("path"), "row_count", "fingerprint")
+    if partial:
+        manifest = manifest.unionByName(listed.select(*manifest.columns).join(now.select("partition"), "partition", "left_anti"))
+    manifest = manifest.select(F.lit(version).cast("long").alias("version"), F.lit(published_at).alias("published_at_utc"), *manifest.columns)
     manifest.coalesce(1).write.option("compression", "zstd").parquet(f"{root}/manifests/{version:010d}")
     return read_manifest(spark, root).filter(F.col("path").startswith(staging)).count()
 
 
 def verify(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """One row per listed partition: whether its rows still have the manifest's count and fingerprint."""
+    """One row per listed partition: whether its rows still have the manifest's count and fingerprint. One job reads all folders."""
     listed = read_manifest(spark, root)
-    out = None
-    for r in listed.toLocalIterator():
-        found = fingerprint(spark.read.schema(schema).parquet(f"{root}/{r['path']}").withColumn("_partition", F.lit(r["partition"])), ["_partition"])
-        row = found.select(F.lit(r["partition"]).alias("partition"), ((F.col("row_count") == r["row_count"]) & (F.col("fingerprint") == r["fingerprint"])).alias("valid"))
-        out = row if out is None else out.union(row)
-    return out if out is not None else spark.createDataFrame([], "partition string, valid boolean")
+    paths = sorted(_guarded(root, r["path"]) for r in listed.select("path").toLocalIterator())
+    if not paths:
+        return spark.createDataFrame([], "partition string, valid boolean")
+    rows = spark.read.schema(schema).parquet(*paths)
+    placed = rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]+/_folder=[0-9a-f]+)/[^/]+$", 1).alias("path"))
+    found = fingerprint(placed, ["path"]).select("path", F.col("row_count").alias("_rows"), F.col("fingerprint").alias("_print"))
+    valid = F.coalesce((F.col("row_count") == F.col("_rows")) & (F.col("fingerprint") == F.col("_print")), F.lit(False))
+    return listed.join(found, "path", "left").select("partition", valid.alias("valid"))
+
+
+def remove_orphans(spark: SparkSession, root: str) -> list[str]:
+    """Removes the folders below data/ that the newest manifest doesn't name, and returns them. To be called once it is out, with no writer or older reader at work."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    top = fs_path(f"{root}/data")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    on_disk = [f"data/{w.getPath().getName()}/{f.getPath().getName()}" for w in fs.listStatus(top) for f in fs.listStatus(w.getPath()) if f.isDirectory()]
+    named = {r["path"] for r in read_manifest(spark, root).select("path").toLocalIterator()}
+    gone = sorted(set(on_disk) - named)
+    for path in gone:
+        fs.delete(fs_path(_guarded(root, path)), True)
+    return gone
 
 
 def orphaned_paths(listed: DataFrame, on_disk: DataFrame) -> DataFrame:
@@ -87,6 +123,11 @@ def orphaned_paths(listed: DataFrame, on_disk: DataFrame) -> DataFrame:
     return on_disk.select("path").distinct().join(listed.select("path"), "path", "left_anti")
 
 
+def shared_paths(listed: DataFrame) -> DataFrame:
+    """Folders that manifest rows of several partitions name, with their number; each must have one owner."""
+    return listed.groupBy("path").agg(F.countDistinct("partition").alias("owners")).filter("owners > 1")
+
+
 LOG_LINE = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d) .*quarantined .*isin=(\S+) exchange=(\S+) code=(\S+) date=(\d{4}-\d\d-\d\d)"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import IDENTITY
 from ..operators.reconcile import latest_per
-from ..sources.lake import publish, read_dataset
+from ..sources.lake import partition_label, publish, read_dataset
 
 
 def deduplicated(stream: DataFrame, delay: str = "7 days") -> DataFrame:
@@ -26,10 +26,15 @@ def merge_batch(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def publish_stream(stream: DataFrame, root: str, checkpoint: str, columns: list[str], published_at: datetime) -> StreamingQuery:
-    """Publishes every micro-batch as the lake's next state. A repeated batch gives the same state, so it does no harm."""
-    schema = stream.select(*columns).schema
+    """Publishes every micro-batch as the lake's next state, reading and writing only the partitions that it touches.
+
+    A batch that is repeated after a failure gives the same state, so its number needn't be kept.
+    """
+    schema, by = stream.select(*columns).schema, ["exchange", "code"]
 
     def apply(batch: DataFrame, _: int) -> None:
-        publish(merge_batch(read_dataset(batch.sparkSession, root, schema), batch), root, ["exchange", "code"], published_at)
+        touched = batch.select(partition_label(by).alias("partition")).distinct()
+        stored = read_dataset(batch.sparkSession, root, schema, touched)
+        publish(merge_batch(stored, batch), root, by, published_at, partial=True)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,6 @@
 import datetime
 import math
+import random
 import statistics
 
 import pytest
@@ -12,18 +13,135 @@ SCHEMA = "isin string, exchange string, code string, trade_date date, open doubl
 
 
 def series(days=220, skip=()):
-    """Two instruments with rising, rippled prices on calendar days."""
+    """Two instruments: random walks by day, with some flat days; days in skip are left out."""
     out = []
-    for isin, code, base, slope, volume in (("DE0000000001", "AAA", 100, 0.55, 1000), ("DE0000000002", "BBB", 80, 0.73, 1400)):
+    for seed, code in ((31, "AAA"), (77, "BBB")):
+        rng, p = random.Random(seed), 50.0 + seed
         for i in range(days):
-            if (code, i) in skip:
-                continue
-            p = base + slope * i + (i % 5) * 0.17
-            o, c = p - 1.2 + (i % 3) * 0.11, p + 0.8 - (i % 4) * 0.09
-            out.append((isin, "XETRA", code, datetime.date(2026, 1, 2) + datetime.timedelta(i), o, max(o, c) + 1.1, min(o, c) - 0.9, c, p, volume + 13 * i + (i % 4) * 7))
+            p *= 1 + (rng.gauss(0.0004, 0.013) if i % 17 else 0)
+            o, c = p * (1 + rng.uniform(-0.006, 0.006)), p * (1 + rng.uniform(-0.006, 0.006))
+            high, low = max(o, c) * (1 + rng.uniform(0, 0.004)), min(o, c) * (1 - rng.uniform(0, 0.004))
+            volume = rng.randint(0, 5000)
+            if (code, i) not in skip:
+                out.append((f"DE00000000{seed}", "XTST", code, datetime.date(2026, 1, 2) + datetime.timedelta(i), o, high, low, c, p, volume))
     return out
 
 
+def plain_features(rows):
+    """All features of one instrument's rows (without those of the market), one dictionary a row, from their definitions."""
+    o, h, l, c, p = ([r[k] for r in rows] for k in (4, 5, 6, 7, 8))  # noqa: E741
+    v, n = [float(r[9]) for r in rows], len(rows)
+    each = lambda f, *xs: [f(*t) if None not in t else None for t in zip(*xs)]
+    back = lambda x, k: [None] * min(k, n) + x[: max(0, n - k)]
+
+    def roll(f, size, *xs):
+        parts = [[x[i - size + 1 : i + 1] for x in xs] if i + 1 >= size else None for i in range(n)]
+        return [f(*t) if t and not any(None in x for x in t) else None for t in parts]
+
+    mean, stdev = statistics.fmean, statistics.stdev
+    over = lambda a, b: a / b if b else None
+    score = lambda x, size, spread=stdev: roll(lambda w: over(w[-1] - mean(w), spread(w)), size, x)
+    r = {k: each(lambda a, b: math.log(a / b) if a > 0 and b > 0 else None, p, back(p, k)) for k in range(1, 21)}
+    out = {"adjusted_close_log_level": [math.log(x) for x in p], "log_tick_volume": [math.log1p(x) for x in v]}
+    for k in (1, 5, 20):
+        out[f"adjusted_close_absolute_delta_{k}obs"] = each(lambda a, b: a - b, p, back(p, k))
+    out |= {f"adjusted_close_log_return_{k}obs": r[k] for k in (1, 3, 5, 10, 20)} | {f"log_return_{k}": r[k] for k in (1, 2, 3, 4, 5, 8, 10, 20)}
+    growth = lambda k: roll(lambda w: math.exp(math.fsum(w)) - 1, k, r[1])
+    out |= {f"adjusted_close_return_geom_{k}obs_pct": growth(k) for k in (5, 10, 20)} | {f"rolling_cum_return_{k}": growth(k) for k in (4, 8, 16)}
+    out |= {f"adjusted_close_return_mean_{k}obs": roll(mean, k, r[1]) for k in (5, 10, 20)}
+    out |= {f"adjusted_close_volatility_{k}obs": roll(stdev, k, r[1]) for k in (5, 10, 20, 40)} | {f"rolling_volatility_{k}": roll(stdev, k, r[1]) for k in (8, 32, 96)}
+    bars = {"high_low_range": each(lambda a, b, d: (a - b) / d, h, l, c), "intraday_return": each(lambda a, b: (a - b) / b, c, o), "overnight_gap": each(lambda a, b: (a - b) / b, o, back(c, 1))}
+    out |= {f"{k}_1obs": x for k, x in bars.items()} | {f"{k}_5obs": roll(mean, 5, x) for k, x in bars.items()}
+    ratio = lambda a, b: roll(lambda w: mean(w[-a:]) / mean(w), b, p)
+    out |= {f"adjusted_close_sma_ratio_{a}_{b}": ratio(a, b) for a, b in ((5, 20), (10, 20), (10, 40))} | {"sma_ratio_5_15": ratio(5, 15)}
+    stoch = {k: roll(lambda a, b, d: 100 * (d[-1] - min(b)) / (max(a) - min(b)), k, h, l, c) for k in (5, 14)}
+    smooth = {k: roll(mean, 3, x) for k, x in stoch.items()}
+    out |= {"stoch_k_5": stoch[5], "stoch_d_5_3": smooth[5], "stoch_k_14": stoch[14], "stoch_d_14_3": smooth[14]}
+    out |= {"stoch_kd_spread_5": each(lambda a, b: a - b, stoch[5], smooth[5]), "stoch_k_slope_3": each(lambda a, b: (a - b) / 3, stoch[5], back(stoch[5], 3))}
+    out["donchian_breakout_up"] = [h[i] > max(h[i - 20 : i]) if i >= 20 else None for i in range(n)]
+    out["donchian_breakout_down"] = [l[i] < min(l[i - 20 : i]) if i >= 20 else None for i in range(n)]
+    for k, size in ((1, 96), (4, 96), (8, 192)):
+        out[f"return_autocorr_lag{k}_window{size}"] = roll(statistics.correlation, size, r[1], back(r[1], k))
+    delta = each(lambda a, b: a - b, p, back(p, 1))
+    for k, size in ((1, 60), (5, 60), (20, 120)):
+        out[f"momentum_autocorr_delta_lag{k}_window{size}"] = roll(lambda a, b: max(statistics.correlation(a, b), 0.0), size, delta, back(delta, k))
+    fall = lambda k: roll(lambda w: w[-1] / max(w) - 1, k, p)
+    out |= {f"adjusted_close_drawdown_{k}obs": fall(k) for k in (20, 60)} | {f"rolling_drawdown_{k}": fall(k) for k in (32, 96)}
+    out |= {"volatility_zscore_96": score(roll(stdev, 8, r[1]), 96), "level_zscore_96": score(p, 96), "level_zscore_60": score(p, 60, statistics.pstdev)}
+    roc = {k: each(lambda a, b: a / b - 1, p, back(p, k)) for k in (1, 2, 3, 4, 5, 8, 10, 20)}
+    out |= {f"roc_{k}": roc[k] for k in (1, 2, 4, 8)} | {f"adjusted_close_roc_{k}obs": roc[k] for k in (3, 5, 10, 20)} | {"roc_acceleration_4_8": each(lambda a, b: a - b, roc[4], roc[8])}
+    out |= {f"relative_volume_{k}obs": roll(lambda w: over(w[-1], mean(w)), k, v) for k in (5, 10, 20)} | {f"volume_zscore_{k}obs": score(v, k) for k in (5, 10, 20)}
+
+    def strength(period):
+        done, up, down = [None] * n, [max(b - a, 0.0) for a, b in zip(p, p[1:])], [max(a - b, 0.0) for a, b in zip(p, p[1:])]
+        for i in range(period, n):
+            g, d = mean(up[:period]), mean(down[:period])
+            for k in range(period, i):
+                g, d = (g * (period - 1) + up[k]) / period, (d * (period - 1) + down[k]) / period
+            done[i] = 100 * g / (g + d) if g + d else None
+        return done
+
+    def average(x, period):
+        start = next((i for i, y in enumerate(x) if y is not None), n)
+        done = [None] * n
+        for i in range(start + period - 1, n):
+            last = mean(x[start : start + period]) if i == start + period - 1 else done[i - 1] + 2 / (period + 1) * (x[i] - done[i - 1])
+            done[i] = last
+        return done
+
+    rsi, ema = {k: strength(k) for k in (3, 5, 7, 14, 15)}, {k: average(p, k) for k in (5, 9, 12, 21, 26)}
+    out |= {f"adjusted_close_rsi_{k}obs": rsi[k] for k in (7, 14)} | {f"rsi_{k}": rsi[k] for k in (3, 5, 7, 14)} | {"rsi_ratio_5_15": each(over, rsi[5], rsi[15])}
+    out |= {"rsi5_slope_3": each(lambda a, b: (a - b) / 3, rsi[5], back(rsi[5], 3)), "rsi5_delta_1": each(lambda a, b: a - b, rsi[5], back(rsi[5], 1))}
+    out |= {f"ema{k}_distance": each(lambda a, b: a / b - 1, p, ema[k]) for k in (5, 9, 21)} | {"ema5_ema21_spread": each(lambda a, b, d: (a - b) / d, ema[5], ema[21], p)}
+    out["ema9_slope_3"] = each(lambda a, b, d: (a - b) / 3 / d, ema[9], back(ema[9], 3), p)
+    above = each(lambda a, b: a > b, ema[5], ema[9])
+    out["ema5_ema9_cross"] = each(lambda a, b: int(a) - int(b), above, back(above, 1))
+    line = each(lambda a, b: a - b, ema[12], ema[26])
+    hist = each(lambda a, b, d: (a - b) / d, line, average(line, 9), p)
+    return out | {"macd_line_relative": each(lambda a, b: a / b, line, p), "macd_hist_relative": hist, "macd_hist_delta_3": each(lambda a, b: a - b, hist, back(hist, 3))}
+
+
+def plain_market(returns):
+    """returns: by day, the instruments' returns. Breadth and dispersion by day, and their trailing means."""
+    days = sorted(returns)
+    daily = {"breadth": [], "dispersion": []}
+    for d in days:
+        known = [x for x in returns[d] if x is not None]
+        daily["breadth"].append(statistics.fmean(x > 0 for x in known) if known else None)
+        daily["dispersion"].append(statistics.stdev(known) if len(known) > 1 else None)
+    out = {d: {f"{name}_daily": x[i] for name, x in daily.items()} for i, d in enumerate(days)}
+    for name, x in daily.items():
+        for k in (5, 10, 20):
+            for i, d in enumerate(days):
+                part = x[max(0, i - k + 1) : i + 1]
+                out[d][f"{name}_{k}obs"] = statistics.fmean(part) if len(part) == k and None not in part else None
+    return out
+
+
+@pytest.mark.parametrize("skip", [(), {("BBB", k) for k in (0, 1, 2, 20, 21, 90)}], ids=["full", "sparse"])
+def test_all_features_match_plain_python(spark, skip):
+    """Each of the 106 features on each row, from definitions that share nothing with the catalog."""
+    rows = series(210, skip)
+    got = {(r.code, r.trade_date): r for r in features(spark.createDataFrame(rows, SCHEMA)).collect()}
+    returns = {}
+    want = {}
+    for code in ("AAA", "BBB"):
+        own = [r for r in rows if r[2] == code]
+        made = plain_features(own)
+        for i, r in enumerate(own):
+            want[code, r[3]] = {k: x[i] for k, x in made.items()}
+            returns.setdefault(r[3], []).append(made["log_return_1"][i])
+    market = plain_market(returns)
+    assert set(got) == set(want)
+    names = set(feature_names())
+    for key, row in want.items():
+        row |= market[key[1]]
+        assert set(row) == names
+        for name, x in row.items():
+            y = got[key][name]
+            assert (x is None and y is None) or (x is not None and y is not None and math.isclose(x, y, rel_tol=1e-7, abs_tol=1e-9)), (key, name, x, y)
+
+
 @pytest.fixture(scope="module")
 def view(spark):
     rows = features(spark.createDataFrame(series(), SCHEMA)).collect()
@@ -87,12 +205,14 @@ def test_no_look_ahead(spark, view):
 
 def test_sparse_calendar(spark):
     skip = {("BBB", k) for k in (0, 1, 2, 20)}
-    rows = {(r.code, r.trade_date.toordinal()): r for r in features(spark.createDataFrame(series(65, skip), SCHEMA), ["returns"]).collect()}
+    data = series(65, skip)
+    rows = {(r.code, r.trade_date.toordinal()): r for r in features(spark.createDataFrame(data, SCHEMA), ["returns"]).collect()}
     first = datetime.date(2026, 1, 2).toordinal()
     assert rows["BBB", first + 3].log_return_1 is None
-    price = {i: 80 + 0.73 * i + (i % 5) * 0.17 for i in range(65)}
+    price = {r[3].toordinal() - first: r[8] for r in data if r[2] == "BBB"}
     assert close(rows["BBB", first + 21].log_return_1, math.log(price[21] / price[19]))
-    assert rows["AAA", first + 20].breadth_daily == 0.0 and rows["AAA", first + 20].dispersion_daily is None
+    up = rows["AAA", first + 20].log_return_1 > 0
+    assert rows["AAA", first + 20].breadth_daily == float(up) and rows["AAA", first + 20].dispersion_daily is None
 
 
 def test_market_rows(spark):

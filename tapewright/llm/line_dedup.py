@@ -2,8 +2,8 @@
 
 One pass over the texts fills a filter of line keys seen in one document and one of keys seen in a second. Only lines
 that the second filter suspects are shuffled, with their whole keys: that confirms repeats exactly and finds the
-smallest document id of each. The filters have a fixed size, so the broadcast has a bound; when they fill up, more lines
-are suspected and shuffled, and the result stays the same.
+smallest document id of each. The filters are sized by the number of lines, up to MOST_LOG2_BITS, which bounds the
+broadcast; beyond that they fill up, more lines are suspected and shuffled, and the result stays the same.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from .shared import SPACES, clash, materialize, slices
 
 SLICE_BYTES = 1 << 16
 HASHES = 3
+#: Bits of a filter for each line, and the size in bits at which it stops growing, as a power of two (128 MB).
+BITS_PER_LINE = 12
+LEAST_LOG2_BITS, MOST_LOG2_BITS = 20, 30
 STRIPPED = SPACES.encode()
 
 
@@ -98,17 +101,25 @@ def seen_twice(docs: DataFrame, id_col: str, text_col: str, min_chars: int, log2
     return whole
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), min_chars: int = 10, log2_bits: int = 27) -> DataFrame:
+def filter_bits(docs: DataFrame, text_col: str) -> int:
+    """The size that suits the number of lines, as a power of two."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = docs.agg(F.sum(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 1
+    return min(MOST_LOG2_BITS, max(LEAST_LOG2_BITS, (BITS_PER_LINE * lines - 1).bit_length()))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), min_chars: int = 10, log2_bits: int | None = None) -> DataFrame:
     """One row per input row: id, the carried columns, n_lines, n_dropped, kept_text.
 
     A line's key is the line without white space at its ends, A-Z lower-cased. A key of at least min_chars code points
     that at least two documents hold stays only in the document with the smallest id, in all its lines there. A null or
     empty text is one empty line. A row without an id keeps all its lines and counts as no document. Rows that repeat an
     id are one document. Columns that aren't carried are not read, so their names can't clash; carried ones must not be
-    named as the result's own columns, id, text or drop. log2_bits sets the fixed size of each Bloom filter (27: 16 MB).
+    named as the result's own columns, id, text or drop. log2_bits sets the size of each Bloom filter by hand.
     """
     clash(carry, id_col, ("n_lines", "n_dropped", "kept_text", "id", "text", "drop"))
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    log2_bits = filter_bits(docs, text_col) if log2_bits is None else log2_bits
     filter_ = spark.sparkContext.broadcast(seen_twice(docs, id_col, text_col, min_chars, log2_bits))
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +139,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     suspects = materialize(texts.mapInArrow(suspect, f"id {kind}, key binary, lines array<int>"), "line-suspects")
-    firsts = suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("key", "first")
+    # written, so that the join below has two plain sides and Spark can split a key that very many documents hold
+    firsts = materialize(suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("key", "first"), "line-firsts")
     drops = suspects.join(firsts, "key").filter("id > first").groupBy("id").agg(F.flatten(F.collect_list("lines")).alias("drop"))
 
     fields = [docs.schema[c] for c in carry]

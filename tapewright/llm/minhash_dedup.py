@@ -105,8 +105,10 @@ def wide_signatures(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _least(percent: int, count: int) -> float:
-    """The threshold less five standard deviations of an estimate by so many minima."""
-    return percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / count) ** 0.5
+    """The threshold less five standard deviations of an estimate by so many minima, of which BITS bits are compared."""
+    chance = 0.5**BITS
+    agree = percent / 100 + (1 - percent / 100) * chance
+    return percent / 100 - 5 * (agree * (1 - agree) / count) ** 0.5 / (1 - chance)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -150,14 +152,24 @@ def _likely(pairs: DataFrame, signatures: DataFrame, count: int, least: float) -
 def _across(members: DataFrame, count: int, least: float, forest: bool = False) -> DataFrame:
     """Pairs of one bucket's members from different components whose estimate reaches the least value.
 
-    members: bucket, band, size, id, component, signature, keys. A bucket of many members is dealt out as pairs of
-    blocks. A pair that shares buckets of several bands is given once, by the first of these bands. forest: pairs that
-    others of the same two blocks connect already are left out, so n members give n - 1 pairs at most.
+    members: bucket, band, id, component, signature, keys, main (whether the component is the bucket's largest), n_main and
+    n_other. Members of the largest component are compared with the others only, and these with each other too; both kinds
+    are dealt out in blocks, a pair of blocks to a cell. A pair that shares buckets of several bands is given once, by the
+    first of these bands. forest: pairs that others of the same two blocks connect already are left out, so n members give
+    n - 1 pairs at most.
     """
     kind = members.schema["id"].dataType.simpleString()
-    own = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("right"), "band", "id", F.xxhash64("component").alias("component"), "signature", "keys")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    own = members.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("main"), blocks("n_main")).otherwise(blocks("n_other"))).cast("int"))
+    main, other = own.filter("main").withColumn("to", each("n_other")), own.filter("NOT main")
+    cells = [
+        main.withColumns({"i": -1 - F.col("own"), "j": F.col("to"), "right": F.lit(False)}),
+        other.withColumn("to", each("n_main")).withColumns({"i": -1 - F.col("to"), "j": F.col("own"), "right": F.lit(True)}),
+        other.withColumn("to", each("n_other")).withColumns({"i": F.least("own", "to"), "j": F.greatest("own", "to"), "right": F.col("own") > F.col("to")}),
+    ]
+    dealt = [c.select("bucket", "i", "j", "right", "band", "id", F.xxhash64("component").alias("component"), "signature", "keys") for c in cells]
+    cell = dealt[0].union(dealt[1]).union(dealt[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -227,7 +239,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = materialize(spread.join(sizes, "bucket"), "buckets")
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
     weighed = shared.join(weight, "id")
-    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "id"))["id"].alias("pivot"))
+    # written, so that Spark can split a bucket of very many members in the join
+    pivots = materialize(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "id"))["id"].alias("pivot")), "pivots")
     stars = shared.join(pivots, "bucket").filter("id != pivot").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
     signatures = materialize(reps.join(weight.select("id"), "id", "left_semi").select("id", "signature", "short_keys"), "signatures")
@@ -235,22 +248,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(named.join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
     links = materialize(confirmed(_likely(stars, signatures, count, least), texts, size, percent), "links")
 
-    def apart(links: DataFrame) -> DataFrame:
-        """The members of buckets that hold more than one component of the links."""
-        joined = shared.join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = joined.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("bucket")
-        return materialize(joined.join(open_, "bucket"), "apart")
+    def apart(found: DataFrame) -> DataFrame:
+        """The members of buckets that hold more than one component, with what _across needs to know of these."""
+        joined = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        each = joined.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        largest = each.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("components")).filter("components > 1")
+        open_ = materialize(largest.select("bucket", F.col("top.component").alias("largest"), F.col("top.n").alias("n_main"), (F.col("size") - F.col("top.n")).alias("n_other")), "open-buckets")
+        held = joined.drop("size").join(open_, "bucket").withColumn("main", F.col("component") == F.col("largest"))
+        return materialize(held.drop("largest"), "apart")
 
-    before = apart(links)
+    def joined(links: DataFrame, more: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """All links, and their components: found, if there are no more."""
+        return (links, found) if more.isEmpty() else (links.union(more), connected_components(links.union(more)))
+
+    found = connected_components(links)
+    before = apart(found)
     wide = wide_signatures(texts.join(before.select("id").distinct(), "id", "left_semi"), size)
     signed = materialize(signatures.select("id", F.col("short_keys").alias("keys")).join(wide, "id"), "wide-signatures")
     forest = _across(before.join(signed, "id"), WIDE, percent / 100, forest=True)
-    links = links.union(materialize(confirmed(forest, texts, size, percent), "links"))
-    rest = _across(apart(links).join(signed, "id"), WIDE, _least(percent, WIDE))
-    links = links.union(materialize(confirmed(rest, texts, size, percent), "links"))
+    links, found = joined(links, materialize(confirmed(forest, texts, size, percent), "links"), found)
+    rest = _across(apart(found).join(signed, "id"), WIDE, _least(percent, WIDE))
+    links, found = joined(links, materialize(confirmed(rest, texts, size, percent), "links"), found)
 
-    found = connected_components(links)
-    of_class = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n", F.coalesce("component", "rep").alias("component"))
+    # written, so that Spark can split a class of very many copies in the join
+    of_class = materialize(classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_hash", "n", F.coalesce("component", "rep").alias("component")), "classes")
     out = held.join(of_class, ["set_hash", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -101,10 +101,10 @@ IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
 
 
 def _iban_ends(m: re.Match) -> list[int]:
-    """Where the value may end: at its country's length, then as the pattern has it; anywhere between words if the country is unknown."""
+    """Where the value may end: at its country's length; anywhere between words if the country is unknown."""
     ends = [m.start() + k for k in range(len(m[0]), 14, -1) if k == len(m[0]) or m[0][k] == " "]
     length = IBAN_LENGTHS.get(m[0][:2])
-    return ends if length is None else [e for e in ends if len(m[0][: e - m.start()].replace(" ", "")) == length] + ends[:1]
+    return ends if length is None else [e for e in ends if len(m[0][: e - m.start()].replace(" ", "")) == length]
 
 
 def _ssn(f: Feistel, m: re.Match) -> str | None:
@@ -179,7 +179,17 @@ def _letters(f: Feistel, text: str) -> str:
 
 
 def _secret(f: Feistel, m: re.Match) -> str | None:
-    return m["lead"] + f.digits(m["hex"], 16, "secret")
+    new = f.digits(m["hex"], 16, "secret")
+    return m["lead"] + "".join(c.upper() if was.isupper() else c for c, was in zip(new, _cased(m["hex"])))
+
+
+def _cased(text: str) -> str:
+    """The text with the digits in the case of the letter before them (or, at the front, of the first letter)."""
+    out, case = [], next((c for c in text if c.isalpha()), "a")
+    for c in text:
+        case = c if c.isalpha() else case
+        out.append(case)
+    return "".join(out)
 
 
 #: Tried in this order; what one kind has replaced, later kinds don't see.
@@ -195,7 +205,8 @@ KINDS: tuple[tuple[str, re.Pattern, Callable], ...] = (
 )
 #: Where a match may end besides its own end, for kinds whose pattern can run on over what follows the value.
 ENDS: dict[str, Callable[[re.Match], list[int]]] = {"iban": _iban_ends}
-_MAYBE = re.compile(r"\d|@")
+#: What a text must hold for any kind to match: digits, an address, or the name of a secret.
+_MAYBE = re.compile(r"\d|@|token|secret|api[_-]?key|password", re.I)
 
 
 def pseudonymize(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, str, str]]]:

@@ -23,6 +23,8 @@ from .shared import materialize, mix64, slices
 
 ANCHOR = 32
 CHUNK_BYTES = 4 << 20
+#: A longer text is cut into stretches piece by piece.
+PIECE_BYTES = 4 << 20
 #: An anchor with more different stretches is dealt out by two hashes of its windows; their bytes never meet in one task.
 HOT_STRETCHES = 20_000
 
@@ -57,6 +59,18 @@ def stretches(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.nda
     return valid[first], start - bounds[valid[first]], n, grams[anchor[first]], whole
 
 
+def all_stretches(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """stretches(), of a single long text in pieces; a stretch that a piece ends becomes two, which anchors bring together again."""
+    if len(data) <= PIECE_BYTES or len(bounds) > 2:
+        return stretches(data, bounds, length)
+    found = []
+    for a in range(0, len(data) - length + 1, PIECE_BYTES):
+        part = data[a : a + PIECE_BYTES + length - 1]
+        of, start, *rest = stretches(part, np.array([0, len(part)]), length)
+        found.append((of, start + a, *rest))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
     """The wanted positions by the order of their suffixes' first `depth` bytes (more of them may be included).
 
@@ -152,7 +166,7 @@ def _anchored(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 part = part.take(pc.sort_indices(part.column(0)))
-                of, start, n, h, g = stretches(*joined_bytes(part.column(1)), length)
+                of, start, n, h, g = all_stretches(*joined_bytes(part.column(1)), length)
                 ids = part.column(0).to_numpy()[of]
                 _, lead, back = np.unique(mix64(h + mix64(g)), return_index=True, return_inverse=True)
                 settled = (ids != ids[lead[back]]) | (start != start[lead[back]])
@@ -220,7 +234,8 @@ def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> tuple[DataFram
                         k, k2 = (PrefixHash(d).of(at, at + length).view(np.int64) for d in (data, data ^ np.uint8(0x5A)))
                         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(k2), pa.array(np.full(len(at), id_)), pa.array(at)], names=["k", "k2", "id", "start"])
 
-    hot = open_.groupBy("h").agg(F.count("*").alias("many")).filter(F.col("many") > HOT_STRETCHES).select("h", F.lit(True).alias("hot"))
+    # written, so that the join below has two plain sides and Spark can split the rows of a hot anchor
+    hot = materialize(open_.groupBy("h").agg(F.count("*").alias("many")).filter(F.col("many") > HOT_STRETCHES).select("h", F.lit(True).alias("hot")), "hot-anchors")
     some = not hot.isEmpty()
     flagged = open_.join(hot, "h", "left") if some else open_.withColumn("hot", F.lit(False))
     spans = flagged.groupBy("id").agg(F.collect_list(F.struct("start", "n", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
@@ -232,7 +247,7 @@ def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> tuple[DataFram
 def _later(windows: DataFrame) -> DataFrame:
     """id, start, n: windows that an earlier one equals. Equal ones are reduced to the first in each task before they meet."""
     first = windows.groupBy("k", "k2").agg(F.count("*").alias("many"), F.min(F.struct("id", "start")).alias("first")).filter("many > 1")
-    late = windows.join(first, ["k", "k2"]).filter(F.struct("id", "start") > F.col("first"))
+    late = windows.join(materialize(first, "hot-firsts"), ["k", "k2"]).filter(F.struct("id", "start") > F.col("first"))
     return late.select("id", "start", F.lit(1).cast("long").alias("n"))
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import datetime
 import hashlib
 import itertools
 import random
@@ -390,6 +391,62 @@ def test_pseudonyms_of_values_in_context(kind, text, value):
     assert kind == "phone" or re.sub(r"\d", "", again) == re.sub(r"\d", "", value)
 
 
+def test_pseudonyms_of_random_texts():
+    """Every planted valid value of each kind is found, whole and alone; invalid ones and plain prose are left; formats stay."""
+    rng = random.Random(6)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = rng.choice("2456") + digits(14)
+        return body + luhn_digit(body)
+
+    def iban():
+        country, length = rng.choice([("DE", 22), ("AT", 20), ("BE", 16), ("FR", 27)])
+        body = digits(length - 4)
+        number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+        return f"{country}{98 - number % 97:02d}{body}"
+
+    def day():
+        d = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(73049))
+        return rng.choice([d.isoformat(), d.strftime("%d.%m.%Y"), d.strftime("%d/%m/%Y")])
+
+    def cased():
+        text = "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(16, 40)))
+        return rng.choice([text, text.upper()])
+
+    make = {
+        "card": card, "iban": iban, "date": day, "ipv4": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), "email": lambda: f"{rng.choice('abcxyz')}{digits(3)}.{rng.choice('qrs')}@mail{rng.randrange(9)}.example.org",
+        "ssn": lambda: f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}", "phone": lambda: f"+49 {rng.randint(100, 999)} {digits(7)}", "secret": lambda: f"{rng.choice(['token', 'API_KEY', 'password'])}={cased()}",
+    }
+    f, seen = Feistel(b"k"), {}
+    for _ in range(400):
+        planted, parts = [], []
+        for kind in rng.choices(list(make), k=rng.randint(0, 5)):
+            value = make[kind]()
+            planted.append((kind, value))
+            parts += [rng.choice(["see", "and then", "word", "Straße"]), value, rng.choice([",", " and", ";"])]
+        text = " ".join(["begin", *parts, "end"])
+        new, found = pseudonymize(text, f)
+        assert sorted((k, v) for k, v, _ in found) == sorted(planted), text
+        shape = lambda t: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "0", t)))
+        for kind, value, fake in found:
+            assert seen.setdefault((kind, value), fake) == fake
+            if kind == "ipv4":  # a dotted quad again, of any length
+                assert all(0 <= int(x) < 256 for x in fake.split(".")) and fake.count(".") == 3
+            else:
+                assert len(fake) == len(value) and (kind == "secret" or shape(fake) == shape(value)), (kind, value, fake)
+            assert kind != "secret" or (fake.isupper() if value.split("=")[1].isupper() and fake.split("=")[0].isupper() else True)
+        rest = text
+        for _, value, _ in found:
+            rest = rest.replace(value, "\0", 1)
+        masked = new
+        for _, _, fake in found:
+            masked = masked.replace(fake, "\0", 1)
+        assert masked == rest
+    assert len(set(seen.values())) == len(seen)
+    assert pseudonymize("token=DEADBEEFDEADBEEF", f)[1][0][0] == "secret"
+
+
 def test_pseudonyms_leave_numbers_alone():
     text = "v12.345.678 12.345.678 13/32/2020 2021.3.5 DE89370400440532013001"
     assert pseudonymize(text, Feistel(b"k"))[1] == []

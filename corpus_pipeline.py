@@ -21,14 +21,20 @@ def _with_text(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes failing lines, and the documents that the rules reject."""
+    """Removes failing lines, and the documents that the rules reject, those without text among them.
+
+    Each row is judged alone: rows that repeat an id or have none are judged like others. An empty table stays empty.
+    """
     judged = docs.select("doc_id", "text", F.struct("lang", "source").alias("rest"))
     done = clean_lines(judged, carry=["rest"]).filter("kept")
     return _with_text(done.select("doc_id", "clean_text", "rest.*"), F.col("clean_text"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that another document holds first. A document whose lines all go is empty and goes too."""
+    """Removes lines that another document holds first. A document without text, or whose lines all go, goes too.
+
+    Rows with a null id keep their lines and take none from others; rows that repeat an id are one document.
+    """
     done = dedup_lines(docs, carry=["lang", "source"])
     return _with_text(done, F.col("kept_text")).filter("n_chars > 0")
 
@@ -43,13 +49,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes documents that overlap a benchmark item."""
+    """Removes documents that overlap a benchmark item. Rows with a null id and those without text stay; equal rows share their fate."""
     leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(leaks.select("doc_id"), "doc_id", "left_anti")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and n_tokens of each document, and whether decoding them gives the text back."""
+    """doc_id, ids and n_tokens of each row, and whether decoding them gives the text back. A null text is empty: no ids, and true."""
     import public_tokenizers
 
     coded = encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["text"])

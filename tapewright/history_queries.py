@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from .market_queries import _DAY, _EVENT_SQL, _KEYS, _Q, _VERSIONS, KEYS, _events, _listing_sql, _raw_listings, _versions
 from .operators.history import (
-    action_window_counts, available_on, bronze_dedup, deactivated, fold_issues, gold_artifacts, key_integrity, listing_partitions, merge_bronze_quotes, noop_decision, payload_rows,
+    action_window_counts, audit_issues, available_on, bronze_dedup, deactivated, fold_issues, gold_artifacts, key_integrity, listing_partitions, merge_bronze_quotes, noop_decision, payload_rows,
     positions, quarantine_matches, quote_issues, reconcile_action_windows, repaired, repeated_keys, replace_action_windows, replace_bronze_actions, round_trip_differences, sidecar_state,
     source_fingerprint, split_rows, state_counts, with_eod_time, with_instrument_types,
 )
 from .operators.normalize import IDENTITY, normalize_dividends, normalize_listings, normalize_quotes, normalize_splits
-from .operators.reconcile import fingerprint
+from .operators.reconcile import fingerprint, missing_rows
+from .operators.standardize import standardize_fold
 from .sources.market_tables import quotes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -276,6 +277,26 @@ def listings_deactivated(spark: SparkSession, d: str) -> DataFrame:
     return deactivated(held, held.filter("CAST(substr(isin, 2) AS BIGINT) % 3 <> 0")).select(*IDENTITY, "is_active")
 
 
+@_query("missing_rows_numeric", f"WITH {_VERSIONS}, w AS (SELECT {_KEYS}, volume, count(*) AS n FROM desired GROUP BY ALL), h AS (SELECT {_KEYS}, volume, count(*) AS n FROM current GROUP BY ALL) SELECT coalesce(sum(greatest(w.n - coalesce(h.n, 0), 0)), 0)::BIGINT AS missing FROM w LEFT JOIN h USING ({_KEYS}, volume)")
+def missing_rows_numeric(spark: SparkSession, d: str) -> DataFrame:
+    desired, current = (x.select(*KEYS, "volume") for x in _versions(spark, d))
+    return missing_rows(desired.withColumn("volume", F.concat(F.col("volume").cast("string"), F.lit(".000"))), current, ["volume"])
+
+
+@_query("audit_issues", "SELECT count(*) FILTER (o_orderkey % 13 = 0) AS missing, count(*) FILTER (o_orderkey % 13 <> 0 AND o_orderkey % 7 = 0) AS fetched_late FROM orders")
+def audit_issue_counts(spark: SparkSession, d: str) -> DataFrame:
+    hours = F.expr("CASE WHEN o_orderkey % 7 = 0 THEN INTERVAL '1' HOUR ELSE INTERVAL '0' HOUR END")
+    rows = table(spark, d, "orders").select((F.col("o_orderdate") + hours).alias("fetched_at_utc"), F.expr("CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END").alias("published_at_utc"))
+    return audit_issues(rows)
+
+
+@_query("fold_standardize_members", f"WITH f AS (SELECT l_orderkey, l_linenumber, {_SPLIT} AS split, max(l_quantity) AS l_quantity FROM lineitem GROUP BY l_orderkey, l_linenumber), s AS (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS d FROM f WHERE split = 'train') SELECT l_orderkey, l_linenumber, split, round((l_quantity - m) / d, 6) + CAST(0 AS DOUBLE) AS l_quantity FROM f, s")
+def fold_standardize_members(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").groupBy(*_LINE_KEYS).agg(F.max("l_quantity").alias("l_quantity"))
+    done = standardize_fold(rows, rows.select(*_LINE_KEYS, F.expr(_SPLIT).alias("split")), _LINE_KEYS, ["l_quantity"])
+    return done.select(*_LINE_KEYS, "split", (F.round("l_quantity", 6) + F.lit(0.0)).alias("l_quantity"))
+
+
 # The benchmark frame: 100 instruments of 1,000 days each.
 _MICRO = "SELECT id // 1000 AS i, id % 1000 AS n FROM (SELECT unnest(range(0, 100000)) AS id) AS x"
 _MICRO_WINDOWS = "WINDOW w AS (PARTITION BY i ORDER BY n), w4 AS (PARTITION BY i ORDER BY n ROWS 3 PRECEDING), w5 AS (PARTITION BY i ORDER BY n ROWS 4 PRECEDING), w20 AS (PARTITION BY i ORDER BY n ROWS 19 PRECEDING)"

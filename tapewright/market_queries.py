@@ -229,7 +229,7 @@ def fold_standardize(spark: SparkSession, d: str) -> DataFrame:
     return done.select(*[c for c in done.columns if c not in _FOLD_NAMES], *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in _FOLD_NAMES])
 
 
-@_query("fold_statistics", f"WITH f AS (SELECT {_FOLD} AS split, l_quantity, l_discount FROM lineitem) SELECT {', '.join(f'round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std, count({c}) AS {c}_count' for c in _FOLD_NAMES[:2])} FROM f WHERE split = 'train'")
+@_query("fold_statistics", f"WITH f AS (SELECT {_FOLD} AS split, l_quantity, l_discount FROM lineitem) SELECT {', '.join(f'round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std, count({c}) AS {c}_count, min({c}) = max({c}) AS {c}_zero_variance' for c in _FOLD_NAMES[:2])} FROM f WHERE split = 'train'")
 def fold_statistic_row(spark: SparkSession, d: str) -> DataFrame:
     stats = fold_statistics(_fold(spark, d), _FOLD_NAMES[:2])
     return stats.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in stats.dtypes])

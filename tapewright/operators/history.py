@@ -250,6 +250,12 @@ def quote_issues(raw: DataFrame) -> DataFrame:
     return raw.agg(count(blank).alias("blank_identity"), count(odd).alias("not_finite"), count((volume < 0) | (volume != F.floor(volume))).alias("bad_volume"))
 
 
+def audit_issues(rows: DataFrame) -> DataFrame:
+    """One row on fetched_at_utc and published_at_utc: rows that lack one, and rows that were fetched after they were published."""
+    lacks = F.col("fetched_at_utc").isNull() | F.col("published_at_utc").isNull()
+    return rows.agg(F.count(F.when(lacks, 1)).alias("missing"), F.count(F.when(F.col("fetched_at_utc") > F.col("published_at_utc"), 1)).alias("fetched_late"))
+
+
 def with_eod_time(rows: DataFrame, date_col: str = "trade_date") -> DataFrame:
     """timestamp_eod: midnight UTC of the trade date."""
     return rows.withColumn("timestamp_eod", F.to_timestamp(F.to_date(date_col)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.canonical import AUDIT, canonical_json, entity_key, overlap_start, row_digest
+from ..functions.canonical import AUDIT, canonical_decimal, canonical_json, entity_key, overlap_start, row_digest
 from .normalize import IDENTITY
 
 
@@ -150,8 +150,10 @@ def fingerprint(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     return buckets.groupBy(*by).agg(F.sum("n").alias("row_count"), F.sha2(joined, 256).alias("fingerprint"))
 
 
-def missing_rows(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row: how many rows, counted with repeats, the actual table lacks."""
+def missing_rows(expected: DataFrame, actual: DataFrame, numeric: Sequence[str] = ()) -> DataFrame:
+    """One row: how many rows, counted with repeats, the actual table lacks. Columns in numeric are compared as numbers, also where they are text."""
+    number = {c: canonical_decimal(F.col(c).try_cast("decimal(38,18)")) for c in numeric}
+    expected, actual = expected.withColumns(number), actual.withColumns(number)
     count = lambda df, n: df.groupBy(canonical_json(df.columns).alias("row")).agg(F.count("*").alias(n))
     both = count(expected, "want").join(count(actual, "have"), "row", "left")
     return both.agg(F.coalesce(F.sum(F.greatest(F.col("want") - F.coalesce("have", F.lit(0)), F.lit(0))), F.lit(0)).cast("long").alias("missing"))

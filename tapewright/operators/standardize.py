@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .history import split_rows
+
 
 def fold_statistics(rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row: each feature's mean, population deviation and count over the rows whose split is train."""
+    """One row: each feature's mean, population deviation, count and whether it doesn't vary, over the rows whose split is train."""
     train = rows.filter("split = 'train'")
-    return train.agg(*[f(c).alias(f"{c}_{n}") for c in features for n, f in (("mean", F.avg), ("std", F.stddev_pop), ("count", F.count))])
+    flat = lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False))
+    return train.agg(*[f(c).alias(f"{c}_{n}") for c in features for n, f in (("mean", F.avg), ("std", F.stddev_pop), ("count", F.count), ("zero_variance", flat))])
 
 
 def standardize(rows: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -24,3 +27,8 @@ def standardize(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     scaled = [F.when(F.col(f"{c}_std") > 0, (finite(c) - F.col(f"{c}_mean")) / F.col(f"{c}_std")).alias(c) for c in features]
     other = [c for c in rows.columns if c not in features]
     return rows.join(F.broadcast(stats), how="cross").select(*other, *scaled)
+
+
+def standardize_fold(rows: DataFrame, fold: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """standardize() of rows whose split comes from a fold (keys and split) that must cover them exactly."""
+    return standardize(split_rows(rows, fold, keys), features)

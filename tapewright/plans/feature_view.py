@@ -76,4 +76,16 @@ def features(quotes: DataFrame, families: Iterable[str] | None = None, market: b
     return out.join(F.broadcast(market_rows(quotes)), "trade_date") if market else out
 
 
-__all__ = ["COLUMNS", "features", "market_rows", "staged"]
+def refreshed_view(stored: DataFrame, quotes: DataFrame, changed: DataFrame, families: Iterable[str] | None = None, levels: bool = True) -> DataFrame:
+    """A stored view after some instruments' quotes changed (as after a corporate action): their rows are computed anew, others are kept.
+
+    changed: the identities. The market's columns depend on all instruments, so they are made anew for every date.
+    """
+    market = market_rows(quotes)
+    keys = changed.select(*KEYS).distinct()
+    own = features(quotes.join(keys, list(KEYS), "left_semi"), families, market=False, levels=levels)
+    kept = stored.join(keys, list(KEYS), "left_anti").select(*own.columns)
+    return kept.unionByName(own).join(F.broadcast(market), "trade_date")  # one row per date
+
+
+__all__ = ["COLUMNS", "features", "market_rows", "refreshed_view", "staged"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import history_queries, market_queries
 from .functions.features import BOOLEAN, EMA_PERIODS, HIST, INTEGER, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, RSI_PERIODS, SIGNAL_PERIOD, STAGES, WINDOWED
-from .plans.feature_view import BASE, features, market_rows, shared_windows, staged
+from .plans.feature_view import BASE, features, market_rows, refreshed_view, shared_windows, staged
 from .sources.market_tables import QUOTES_SQL, quotes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,15 @@ def _market_ctes(source: str) -> str:
     return f"daily AS (SELECT trade_date, {daily} FROM {source} GROUP BY trade_date), market AS (SELECT trade_date, {rolled} FROM daily {MARKET_WINDOWS})"
 
 
+def _refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """A view of older quotes, brought up to date for the instruments whose quotes changed."""
+    now = quotes(spark, d)
+    is_changed = F.expr("CAST(substr(isin, 2) AS INT) % 4 = 0")
+    old = now.withColumn("adjusted_close", F.when(is_changed, F.col("adjusted_close") * 2 + 1).otherwise(F.col("adjusted_close")))
+    stored = features(old, ["returns"], levels=False)
+    return _rounded(refreshed_view(stored, now, now.filter(is_changed).select(*KEYS), ["returns"], levels=False))
+
+
 def _register_features() -> None:
     for family in [*WINDOWED, *RECURRENT]:
         QUERIES[f"feat_{family}"] = lambda spark, d, f=family: _rounded(features(quotes(spark, d), [f], market=False, levels=False))
@@ -91,6 +100,8 @@ def _register_features() -> None:
     SQL["feat_breadth_dispersion"] = _duck(f"WITH {base}, " + staged("SELECT * FROM base", STAGES[:2], "SELECT * FROM {last}").removeprefix("WITH ").rsplit(" SELECT * FROM s2", 1)[0] + f", {_market_ctes('s2')} SELECT * FROM market")
     QUERIES["feature_view_full"] = lambda spark, d: _rounded(features(quotes(spark, d)).withColumn("available_on", F.to_date("available_at_utc")).drop("available_at_utc"))
     SQL["feature_view_full"] = _feature_sql([*WINDOWED, *RECURRENT], market=True, levels=True)
+    QUERIES["feature_view_refreshed"] = _refreshed
+    SQL["feature_view_refreshed"] = _feature_sql(["returns"], market=True, levels=False)
     QUERIES["quotes"] = lambda spark, d: _rounded(quotes(spark, d))
     SQL["quotes"] = f"SELECT isin, exchange, code, trade_date, {', '.join(f"round({c}, 6) + CAST(0 AS DOUBLE) AS {c}" for c in ('open', 'high', 'low', 'close', 'adjusted_close'))}, volume FROM ({QUOTES_SQL}) AS q"
 

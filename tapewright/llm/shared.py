@@ -19,8 +19,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_MAP = {ord(c): ord(c) + 32 for c in UPPER}
 
 
+#: An input of fewer bytes for each core is dealt out to all cores. Larger ones are split by Spark and never shuffled for this.
+SMALL_PART = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table; a small one, which one file of one row group would give to one task, is dealt out to all cores."""
+    path, cores = f"{sf_dir}/{name}.parquet", spark.sparkContext.defaultParallelism
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    rows = spark.read.parquet(path)
+    return rows.repartition(cores) if size < cores * SMALL_PART else rows
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import word_hashes
@@ -26,6 +26,7 @@ MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 6, 8, 9), (0, 1, 3, 7, 8, 9), (0, 1, 2, 3
 SHORT_MASKS = ((0, 1, 2, 4), (0, 2, 3, 4), (0, 1, 2, 3), (0, 1, 3, 4))
 MIN_TOKENS = 13
 SHORTEST_ITEM = 5
+ITEMS_AT_ONCE = 64
 LOG2_BITS = 24
 TOKEN_GAP = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
@@ -126,7 +127,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     joined = hits.join(test.select("seed", F.col("id").alias("item"), F.col("place").alias("item_place")), "seed")
     diagonals = joined.select("id", "item", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct()
     held = materialize(diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item"), "hits")
-    by_doc = held.groupBy("id", "item", "item_text").agg(F.collect_set("diagonal").alias("diagonals")).groupBy("id").agg(F.collect_list(F.struct("item", "item_text", "diagonals")).alias("found"))
+    by_item = held.groupBy("id", "item", "item_text").agg(F.collect_set("diagonal").alias("diagonals"))
+    # a document that meets very many items gets several rows of about ITEMS_AT_ONCE items each
+    parts = F.ceil(F.count("*").over(Window.partitionBy("id")) / ITEMS_AT_ONCE)
+    by_doc = by_item.withColumn("part", F.pmod(F.xxhash64("item"), parts)).groupBy("id", "part").agg(F.collect_list(F.struct("item", "item_text", "diagonals")).alias("found"))
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -37,7 +38,7 @@ def _member(kind: str, page_id, url: str | None, digest: str, size: int, payload
     """One record as a gzip member. A revisit keeps the HTTP head, with the full payload's length, and no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {date}",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{_name(page_id, digest)}>", f"WARC-Date: {date}",
         *([f"WARC-Target-URI: {quote(url, safe=_URI)}"] if url else []), f"WARC-Payload-Digest: sha1:{digest}",
         *([f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {REVISIT_PROFILE}"] if kind == "revisit" else []),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + len(payload)}",
@@ -46,11 +47,24 @@ def _member(kind: str, page_id, url: str | None, digest: str, size: int, payload
     return pack.compress("\r\n".join(head).encode() + b"\r\n\r\n" + http + payload + b"\r\n\r\n") + pack.flush()
 
 
+def _name(page_id, digest: str) -> str:
+    """A record's name. Pages without an id are told apart by their payload; rows that repeat both are copies of one record."""
+    return f"null:{digest}" if page_id is None else str(page_id)
+
+
+def _info(file: str, date: str) -> bytes:
+    """The record that says what a file is."""
+    body = b"software: tapewright\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, file)}>", f"WARC-Date: {date}", f"WARC-Filename: {file}", "Content-Type: application/warc-fields", f"Content-Length: {len(body)}"]
+    pack = zlib.compressobj(3, zlib.DEFLATED, 31)
+    return pack.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + pack.flush()
+
+
 _URI = "!#$%&'()*+,/:;=?@[]~"
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, date: str = "2026-01-01T00:00:00Z") -> DataFrame:
-    """Writes one record per row below `folder` and returns the index, which is itself stored as `folder`/index.
+    """Writes one record per row below `folder`, behind a warcinfo record in each file, and returns the index, which is itself stored as `folder`/index.
 
     Of rows with equal payloads of at least min_revisit_bytes bytes, the one with the largest id becomes a response
     record, the others revisit it. A null payload is an empty one; a null url leaves the target out. A row with a null
@@ -99,7 +113,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     if out is not None:
                         out.close()
                     file = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{part:03d}.warc.gz"
-                    out, at, part = store.open_output_stream(f"{base}/{file}", compression=None), 0, part + 1
+                    out, part = store.open_output_stream(f"{base}/{file}", compression=None), part + 1
+                    out.write(info := _info(file, date))
+                    at = len(info)
                 out.write(member)
                 rows.append((file, at, len(member), url, digest, type_, i, first if type_ == "revisit" else None))
                 at += len(member)
@@ -163,7 +179,7 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
                 fields, payload = _parse(raw[offset - first : offset - first + length])
                 said = fields["warc-payload-digest"].removeprefix("sha1:")
                 measured = payload_digest(payload) if fields["warc-type"] == "response" else said
-                if (said, type_, f"<urn:page:{page}>") != (digest, fields["warc-type"], fields["warc-record-id"]) or measured != digest:
+                if (said, type_, f"<urn:page:{_name(page, digest)}>") != (digest, fields["warc-type"], fields["warc-record-id"]) or measured != digest:
                     raise ValueError(f"{name} at {offset}: the record isn't the one in the index")
                 to = fields.get("warc-refers-to", "")[10:-1]
                 out.append((page, url, type_, to or None, len(payload) if type_ == "response" else int(fields["http-length"]), measured, payload.decode("utf-8", "replace") if with_payload and type_ == "response" else None))

@@ -144,6 +144,12 @@ def test_warc(spark, tmp_path):
     row = index.filter("page_id = 4").first()
     raw = open(f"{tmp_path}/w/{row.file}", "rb").read()[row.offset : row.offset + row.length]
     assert zlib.decompress(raw, 31).startswith(b"WARC/1.1\r\nWARC-Type: response")
+    whole, heads = open(f"{tmp_path}/w/{row.file}", "rb").read(), []
+    while whole:  # every member is a record, and the first one says what the file is
+        member = zlib.decompressobj(31)
+        heads.append(member.decompress(whole).split(b"\r\n")[1])
+        whole = member.unused_data
+    assert heads[0] == b"WARC-Type: warcinfo" and heads.count(heads[0]) == 1 and len(heads) == 1 + index.filter(F.col("file") == row.file).count()
 
 
 def components(sets, percent):

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroid_clustering import cluster_vectors
 from .decontamination import find_leaks
+from .hard_negatives import mine_hard_negatives
 from .line_dedup import dedup_lines
 from .minhash_dedup import near_duplicates
+from .packing import pack_documents
 from .passage_dedup import find_passages
 from .piece_codec import encode_decode
 from .pseudonyms import pseudonymize_documents
@@ -71,6 +74,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = sha256_hex(F.array_join(F.col("centroid").cast("array<string>"), ","))
+    total = centroids.agg(F.sum("inertia").alias("whole"))
+    named = centroids.crossJoin(F.broadcast(total)).select("cluster", F.col("inertia").alias("cluster_inertia"), F.col("whole").alias("inertia"), digest.alias("centroid_sha256"))  # 40 rows and one
+    return placed.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +105,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_packing": op12_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _OP1_SQL = r"""
@@ -137,8 +163,47 @@ WITH d AS (
 SELECT *, NOT base_failed AND kept_words >= 0.5 * n_words AS kept FROM judged
 """
 
+
+
+def _op11_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Plain full scans: one common table expression for each assignment and each set of centroids."""
+    apart = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    near = f"SELECT v.vec_id, v.n, v.x, arg_min(c.cluster, ({apart}) * {k} + c.cluster) AS cluster, min({apart}) AS distance FROM v CROSS JOIN {{c}} AS c GROUP BY v.vec_id, v.n, v.x"
+    steps = [
+        f"v AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})",
+        f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INT AS cluster, x FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k})",
+    ]
+    for r in range(rounds):
+        steps += [
+            f"a{r} AS MATERIALIZED ({near.format(c=f'c{r}')})",
+            f"m{r} AS (SELECT cluster, list(floor_mean ORDER BY d) AS x FROM (SELECT cluster, d, (s - ((s % n) + n) % n) // n AS floor_mean FROM (SELECT cluster, d, sum(x[d])::BIGINT AS s, count(*) AS n FROM a{r} CROSS JOIN (SELECT unnest(range(1, {dims + 1})) AS d) GROUP BY cluster, d)) GROUP BY cluster)",
+            f"c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{r} AS c LEFT JOIN m{r} AS m USING (cluster))",
+        ]
+    last = f"a{rounds} AS MATERIALIZED ({near.format(c=f'c{rounds}')})"
+    return f"""WITH {', '.join([*steps, last])}
+SELECT a.vec_id, a.cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia, sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c USING (cluster)"""
+
+
+_OP13_SQL = """
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, coalesce(list_sum(list_transform(list_zip(a.x, b.x), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+  FROM r AS a JOIN r AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 LLM_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1_SQL,
     "op4_warc": _OP4_SQL,
     "op9_quality_rules": _OP9_SQL,
+    "op11_centroid_clustering": _op11_sql(),
+    "op13_hard_negatives": _OP13_SQL,
 }

@@ -58,6 +58,14 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Removes the folder of a materialized result that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clash(carry: Sequence[str], id_col: str, made: Sequence[str]) -> None:
     """An error for carried columns that are named as the id or as a column that the operator makes (in any case)."""
     taken = {c.lower() for c in (id_col, *made)}

@@ -10,22 +10,34 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import joined_bytes
 from .shared import materialize, mix64, slices
 
 BUCKETS = 256
 DIMS = 4
 #: Bits of each dimension in the key.
 BITS = 15
-#: Words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 400_000
+#: Parts of texts whose ids a worker keeps from one task to the next, in some 120 MB; beyond that it starts anew.
+KEPT_WORDS = 2_000_000
+#: Texts are encoded in pieces of so many bytes, each different part of a piece looked up once.
+PIECE_BYTES = 8 << 20
+
+_OTHER, _SPACE, _LETTER, _MARK = range(4)
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
+_KIND[[ord(c) for c in ".,;:!?"]] = _MARK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def projection() -> np.ndarray:
@@ -73,8 +85,26 @@ def content_keys(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return hilbert_keys(np.clip(np.floor((spread + 1) * (1 << (BITS - 1))), 0, (1 << BITS) - 1).astype(np.int64))
 
 
+def _parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each part of the texts' bytes, and each text's bounds among the parts.
+
+    Texts part at white space, and before a mark that follows an ASCII letter: tokens never reach over either.
+    """
+    kind = _KIND[data]
+    last = np.concatenate([[_SPACE], kind[:-1]])  # the byte before
+    last[bounds[:-1][bounds[:-1] < len(data)]] = _SPACE
+    solid = kind != _SPACE
+    starts = np.flatnonzero(solid & ((last == _SPACE) | ((kind == _MARK) & (last == _LETTER))))
+    stops = np.flatnonzero(np.diff(solid.astype(np.int8), append=0) == -1) + 1  # where solid bytes end, whatever the text
+    ends = np.minimum(np.append(starts[1:], len(data)), stops[np.searchsorted(stops, starts, side="right")]) if len(starts) else starts
+    return starts, ends, np.searchsorted(starts, bounds)
+
+
 class _Words:
-    """Ids of texts by a tokenizer that never joins tokens over white space: each different word is encoded once."""
+    """Ids of texts by a tokenizer that never joins tokens over white space: each different part of a text is encoded once.
+
+    Parts of up to 16 bytes are told apart by two numbers that hold all their bytes, longer ones by their text.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -84,27 +114,81 @@ class _Words:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
+        self.known = np.zeros((0, 3), np.uint64)  # hash and both numbers of each short part, in the order of hashes
+        self.at = np.zeros(0, np.int64)
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _added(self, parts: list[bytes]) -> np.ndarray:
+        """The places of new parts among the encoded ones."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)]
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        first = len(self.ends) - 1
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)])
+        return np.arange(first, len(self.ends) - 1)
+
+    def _short(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """The places of parts of up to 16 bytes, or None if two of them share a hash.
+
+        A-Z count as a-z where a part is all ASCII and there are no special tokens.
+        """
+        size = (ends - starts).astype(np.uint64)
+        plain = np.concatenate([[0], np.cumsum(data >= 128)])
+        folds = plain[ends] == plain[starts]
+        if len(data) > 1 and ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
+            folds[:] = False  # a special token in capitals is plain text
+        wide = np.zeros(len(data) + 16, np.uint8)
+        keys = []
+        for bytes_ in (data, _LOWER[data]):
+            wide[: len(data)] = bytes_
+            eight = np.ndarray(len(data) + 9, "<u8", wide.tobytes(), 0, (1,))  # the eight bytes from each place on
+            low, high = np.minimum(size, 8), np.maximum(size, 8) - np.uint64(8)
+            keys.append([np.where(n > 0, v & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * np.maximum(n, 1))), 0) for n, v in ((low, eight[starts]), (high, eight[starts + 8]))])
+        a, b = (np.where(folds, folded, raw) for raw, folded in zip(*keys))
+        h = mix64(a + mix64(b + size))
+        one, lead, of = np.unique(h, return_index=True, return_inverse=True)
+        if (a != a[lead][of]).any() or (b != b[lead][of]).any():
+            return None
+        near = np.minimum(np.searchsorted(self.known[:, 0], one), max(len(self.known) - 1, 0))
+        new = np.ones(len(one), bool) if not len(self.known) else self.known[near, 0] != one
+        places = np.zeros(len(one), np.int64)
+        if not new.all():
+            if (self.known[near[~new], 1:] != np.stack([a[lead[~new]], b[lead[~new]]], axis=1)).any():
+                return None
+            places[~new] = self.at[near[~new]]
+        if new.any():
+            text = [data[s:e].tobytes() for s, e in zip(starts[lead[new]].tolist(), ends[lead[new]].tolist())]
+            places[new] = self._added(text)
+            to = np.searchsorted(self.known[:, 0], one[new])
+            self.known = np.insert(self.known, to, np.stack([one[new], a[lead[new]], b[lead[new]]], axis=1), axis=0)
+            self.at = np.insert(self.at, to, places[new])
+        return places[of]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and each text's bounds among them."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        flat = split.flatten().dictionary_encode()
-        words, of = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-        if len(self.place) + len(words) > KEPT_WORDS:
+        data, bounds = joined_bytes(texts)
+        if len(self.ends) > KEPT_WORDS:
             self.forget()
-        new = [w for w in words if w not in self.place]
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f) for f in found])])
-        at = np.fromiter((self.place[w] for w in words), np.int64, len(words))[of] if len(of) else np.zeros(0, np.int64)
+        starts, ends, of_text = _parts(data, bounds) if len(data) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64))
+        at = np.zeros(len(starts), np.int64)
+        short = ends - starts <= 16
+        if short.any():
+            found = self._short(data, starts[short], ends[short])
+            short &= found is not None
+            at[short] = found if found is not None else 0
+        long = [data[s:e].tobytes() for s, e in zip(starts[~short].tolist(), ends[~short].tolist())]
+        if new := list(dict.fromkeys(p for p in long if p not in self.place)):
+            self.place.update(zip(new, self._added(new).tolist()))
+        at[~short] = np.fromiter(map(self.place.__getitem__, long), np.int64, len(long))
         start, size = self.ends[at], self.ends[at + 1] - self.ends[at]
         ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)]
-        return ids, ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        return self.ids[np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)], ends[of_text]
+
+
+@cache
+def _words(path: str) -> _Words:
+    """One for each worker process, which serves many tasks."""
+    return _Words(path)
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -113,9 +197,9 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _Words(tokenizer)
+        coder = _words(tokenizer)
         for batch in batches:
-            for part in slices(batch, 1, rows=4096):
+            for part in slices(batch, 1, PIECE_BYTES, rows=4096):
                 ids, bounds = coder.encode(part.column(1))
                 key = content_keys(ids, bounds)
                 n = np.diff(bounds) + 1

@@ -155,7 +155,7 @@ def test_cuts():
             assert sizes[: total // length] == [length] * (total // length)
 
 
-ODD = ["<|endoftext|> and <|startoftext|>x<|endoftext|>", "it's ISN'T we'll  é é ́x İi ǅ ß", "a b c　d\u0085e", "日本語 テキスト\ttab\x0bv\x0cf\rr\x1cs", "  ", "̸ \n̸=", "12345 1a2b", "😀👍🏽 ‍ x"]
+ODD = ["<|ENDOFTEXT|> A.b:C!! don'T.x e.́ H̱ x̱ supercalifragilisticexpialidocious;AND", "<|endoftext|> and <|startoftext|>x<|endoftext|>", "it's ISN'T we'll  é é ́x İi ǅ ß", "a b c　d\u0085e", "日本語 テキスト\ttab\x0bv\x0cf\rr\x1cs", "  ", "̸ \n̸=", "12345 1a2b", "😀👍🏽 ‍ x"]
 
 
 def test_words_encode_as_whole_texts(corpus):
@@ -169,6 +169,18 @@ def test_words_encode_as_whole_texts(corpus):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == whole_.encode(t, add_special_tokens=False).ids
 
 
+def test_words_that_share_a_hash(monkeypatch, corpus):
+    import pyarrow as pa
+
+    from tapewright.llm import packing
+
+    monkeypatch.setattr(packing, "mix64", lambda x: x & np.uint64(3))
+    texts = [t for _, t in corpus if t]
+    coder, whole_ = _Words(WORDS), Tokenizer.from_file(WORDS)
+    ids, bounds = coder.encode(pa.array(texts))
+    assert all(ids[bounds[k] : bounds[k + 1]].tolist() == whole_.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts))
+
+
 def test_packing_places_each_token_once(spark, corpus):
     texts = [(i, t) for i, t in corpus] + [(500 + k, t) for k, t in enumerate(ODD)] + [(None, "a null id"), (None, None), (3, "an id again"), (600, " ".join(f"word{k}" for k in range(9000)))]
     docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("ids", F.lit("x")).withColumn("key", F.lit(1)).withColumn("part", F.lit(2))

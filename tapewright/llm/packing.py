@@ -29,7 +29,7 @@ BITS = 15
 #: Parts of texts whose ids a worker keeps from one task to the next, in some 120 MB; beyond that it starts anew.
 KEPT_WORDS = 2_000_000
 #: Texts are encoded in pieces of so many bytes, each different part of a piece looked up once.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 _OTHER, _SPACE, _LETTER, _MARK = range(4)
 _KIND = np.zeros(256, np.uint8)
@@ -38,6 +38,8 @@ _KIND[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
 _KIND[[ord(c) for c in ".,;:!?"]] = _MARK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Masks of the first 0 to 8 bytes of a number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def projection() -> np.ndarray:
@@ -133,20 +135,20 @@ class _Words:
         A-Z count as a-z where a part is all ASCII and there are no special tokens.
         """
         size = (ends - starts).astype(np.uint64)
-        plain = np.concatenate([[0], np.cumsum(data >= 128)])
-        folds = plain[ends] == plain[starts]
-        if len(data) > 1 and ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
-            folds[:] = False  # a special token in capitals is plain text
         wide = np.zeros(len(data) + 16, np.uint8)
-        keys = []
-        for bytes_ in (data, _LOWER[data]):
-            wide[: len(data)] = bytes_
-            eight = np.ndarray(len(data) + 9, "<u8", wide.tobytes(), 0, (1,))  # the eight bytes from each place on
-            low, high = np.minimum(size, 8), np.maximum(size, 8) - np.uint64(8)
-            keys.append([np.where(n > 0, v & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * np.maximum(n, 1))), 0) for n, v in ((low, eight[starts]), (high, eight[starts + 8]))])
-        a, b = (np.where(folds, folded, raw) for raw, folded in zip(*keys))
+        wide[: len(data)] = data if ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any() else _LOWER[data]  # a special token in capitals is plain text
+        plain = np.concatenate([[0], np.cumsum(data >= 128, dtype=np.int32)])
+        for s, e in zip(starts[odd := plain[ends] > plain[starts]].tolist(), ends[odd].tolist()):
+            wide[s:e] = data[s:e]
+        eight = np.ndarray(len(data) + 9, "<u8", wide, 0, (1,))  # the eight bytes from each place on
+        a = eight[starts] & _FIRST[np.minimum(size, 8)]
+        b = eight[starts + 8] & _FIRST[np.maximum(size, 8) - np.uint64(8)]
         h = mix64(a + mix64(b + size))
-        one, lead, of = np.unique(h, return_index=True, return_inverse=True)
+        by = np.argsort(h)
+        new = np.concatenate([[True], h[by][1:] != h[by][:-1]])
+        lead, of = by[new], np.empty(len(h), np.int64)
+        of[by] = np.cumsum(new) - 1
+        one = h[lead]
         if (a != a[lead][of]).any() or (b != b[lead][of]).any():
             return None
         near = np.minimum(np.searchsorted(self.known[:, 0], one), max(len(self.known) - 1, 0))
@@ -191,8 +193,13 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
-    """id, key, n and ids (32-bit little-endian) of each document; the end id follows its tokens. A null text is empty."""
+def id_width(path: str, end_id: int) -> int:
+    """Bytes of a stored id: two where all ids fit, else four."""
+    return 2 if max(end_id, *_words(path).tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+
+
+def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, width: int) -> DataFrame:
+    """id, key, n and ids (little-endian, of `width` bytes each) of each document; the end id follows its tokens. A null text is empty."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
 
@@ -204,11 +211,11 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
                 key = content_keys(ids, bounds)
                 n = np.diff(bounds) + 1
                 ends = np.cumsum(n)
-                whole = np.full(int(ends[-1]), end_id, "<u4")
+                whole = np.full(int(ends[-1]), end_id, f"<u{width}")
                 inside = np.ones(len(whole), bool)
                 inside[ends - 1] = False
                 whole[inside] = ids
-                data = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int64)), pa.py_buffer(whole.tobytes())])
+                data = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], ends * width]).astype(np.int64)), pa.py_buffer(whole.tobytes())])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(key), pa.array(n), data.cast(pa.binary())], names=["id", "key", "n", "ids"])
 
     return texts.mapInArrow(run, f"id {kind}, key long, n long, ids binary")
@@ -235,7 +242,7 @@ def cuts(start: int, n: int, total: int, length: int) -> list[tuple[int, int, in
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, end_id: int = 2) -> DataFrame:
-    """One row per piece: id, start (the document's tokens before it), length, ids, doc_tokens, sequence_id, offset.
+    """One row per piece: id, start (the document's tokens before it), length, ids (32-bit little-endian), doc_tokens, sequence_id, offset.
 
     Every document ends with end_id and lies whole in the line, cut where sequences end. Sequences are numbered along the
     curve from 0 and all hold `length` tokens, but for the last ones, whose sizes are powers of two that differ. Null and empty texts are one end id. Rows that repeat an id are documents of their own, those with a null id too. Documents with equal keys
@@ -244,7 +251,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = materialize(tokenized(docs, id_col, text_col, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    width = id_width(tokenizer, end_id)
+    rows = materialize(tokenized(docs, id_col, text_col, tokenizer, end_id, width).withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
@@ -270,7 +278,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 data, at = memoryview(batch.column(2)[k].as_buffer()), 0
                 for sequence, offset, size in cuts(firsts[part] + before, n, total, length):
                     of.append(k)
-                    parts.append(bytes(data[4 * at : 4 * (at + size)]))
+                    parts.append(np.frombuffer(data[width * at : width * (at + size)], f"<u{width}").astype("<u4").tobytes())
                     made.append((at, size, n, sequence, offset))
                     at += size
             start, size, n, sequence, offset = (pa.array(c, pa.int64()) for c in (zip(*made) if made else [()] * 5))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.canonical import canonical_json, next_business_day, trimmed
+from ..functions.equality import same_value
 from .normalize import IDENTITY
 from .reconcile import fingerprint
 
@@ -228,14 +229,33 @@ def source_fingerprint(rows: DataFrame, keys: Sequence[str], features: Sequence[
     return fingerprint(rows.select(*keys, *features), [])
 
 
+def compared(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of both sides, whether each has a row, and whether the rows mean the same (same_value, over all columns of either).
+
+    Columns are matched by name in any case; one that a side lacks is null. Rows that repeat a key are paired in the order
+    of their canonical JSON. Keys are compared as text.
+    """
+
+    def side(df: DataFrame, what: str) -> DataFrame:
+        given = {c.lower(): c for c in df.columns}
+        held = F.struct(F.lit(None).cast("int").alias("_"), *[F.col(c).alias(n) for n, c in given.items() if n not in low])
+        named = [F.coalesce(F.col(given[k]).cast("string"), F.lit("\0")).alias(k) for k in low]
+        n = F.row_number().over(Window.partitionBy(*low).orderBy(F.to_json(what, {"ignoreNullFields": "false"})))
+        return df.select(*named, held.alias(what)).withColumn("_n", n)
+
+    low = [k.lower() for k in keys]
+    a, b = side(expected, "_a"), side(actual, "_b")
+    both = a.join(b, [*low, "_n"], "full_outer")
+    same = same_value(F.col("_a"), a.schema["_a"].dataType, F.col("_b"), b.schema["_b"].dataType)
+    has = lambda c: F.col(c).isNotNull()
+    named = [F.nullif(F.col(k), F.lit("\0")).alias(old) for k, old in zip(low, keys)]
+    return both.select(*named, has("_a").alias("expected"), has("_b").alias("actual"), (has("_a") & has("_b") & same).alias("same"))
+
+
 def round_trip_differences(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: rows that differ after a round trip. Both sides are read by the expected types, so number text equals its number, and a missing column is null."""
-    fields = {f.name: f.dataType for f in expected.schema.fields}
-    lower = {c.lower(): c for c in actual.columns}
-    typed = actual.select(*[(F.col(lower[n.lower()]).try_cast(t) if n.lower() in lower else F.lit(None).cast(t)).alias(n) for n, t in fields.items()])
-    side = lambda df, name: df.groupBy(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(c) for c in keys], F.sha2(canonical_json([c for c in fields if c not in keys]), 256).alias("values")).agg(F.count("*").alias(name))
-    both = side(expected, "a").join(side(typed, "b"), [*keys, "values"], "full_outer")
-    return both.agg(F.coalesce(F.sum(F.greatest(F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0)), F.lit(0))), F.lit(0)).cast("long").alias("lost"), F.coalesce(F.sum(F.greatest(F.coalesce("b", F.lit(0)) - F.coalesce("a", F.lit(0)), F.lit(0))), F.lit(0)).cast("long").alias("new"))
+    """One row: expected rows without an equal actual row (lost), and actual rows without an equal expected one (new)."""
+    count = lambda c: F.count(F.when(F.col(c) & ~F.col("same"), 1)).alias
+    return compared(expected, actual, keys).agg(count("expected")("lost"), count("actual")("new"))
 
 
 def quote_issues(raw: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def test_checks(spark):
         H.require_parents(child, listings).collect()
     assert not H.deactivated(listings, child.filter("isin = '9'")).first().is_active and H.deactivated(listings, child).first().is_active
     assert H.key_integrity(child.union(child), ["isin"]).first()["unique"] is False and H.repeated_keys(child, ["code"]).first().n == 2
-    back = spark.createDataFrame([("1", "2.50"), ("2", "x")], "K string, v string")
-    assert tuple(H.round_trip_differences(spark.createDataFrame([("1", 2.5), ("2", None)], "k string, v double"), back, ["k"]).first()) == (0, 0)
+    back = spark.createDataFrame([("1", "2.50"), ("2", "x")], "K string, value string")
+    assert tuple(H.round_trip_differences(spark.createDataFrame([("1", 2.5), ("2", None)], "k string, value double"), back, ["k"]).first()) == (1, 1)
     with pytest.raises(Exception):
         H.payload_rows(spark.createDataFrame([("{",)], "payload_json string"), "k int").collect()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import history_queries, market_queries
+from . import history_queries, lake_queries, market_queries
 from .functions.features import BOOLEAN, EMA_PERIODS, HIST, INTEGER, KEYS, MARKET, MARKET_DAILY, MARKET_WINDOWS, RECURRENT, RSI_PERIODS, SIGNAL_PERIOD, STAGES, WINDOWED
 from .plans.feature_view import BASE, features, market_rows, refreshed_view, shared_windows, staged
 from .sources.market_tables import QUOTES_SQL, quotes
@@ -107,5 +107,5 @@ def _register_features() -> None:
 
 
 _register_features()
-QUERIES |= market_queries.QUERIES | history_queries.QUERIES
-SQL |= market_queries.SQL | history_queries.SQL
+QUERIES |= market_queries.QUERIES | history_queries.QUERIES | lake_queries.QUERIES
+SQL |= market_queries.SQL | history_queries.SQL | lake_queries.SQL

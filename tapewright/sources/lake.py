@@ -21,7 +21,9 @@ from ..operators.reconcile import fingerprint
 MANIFEST = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("published_at_utc", T.TimestampType()), T.StructField("partition", T.StringType()),
     T.StructField("path", T.StringType()), T.StructField("row_count", T.LongType()), T.StructField("fingerprint", T.StringType()),
+    T.StructField("schema", T.StringType()), T.StructField("batches", T.MapType(T.StringType(), T.LongType())),
 ])
+FOLDER = r"(data/[0-9a-f]+/_folder=[0-9a-f]+)/[^/]+$"
 
 
 def safe_part(value: str) -> str:
@@ -64,29 +66,63 @@ def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: Dat
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def publish(rows: DataFrame, root: str, by: Sequence[str], published_at: datetime, partial: bool = False) -> int:
+def footer_counts(spark: SparkSession, root: str) -> DataFrame:
+    """path and file_rows of each data folder on disk, from the files' footers: no column is read."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data")
+    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
+        return spark.createDataFrame([], "path string, file_rows long")
+    files = spark.read.schema(T.StructType()).option("recursiveFileLookup", True).parquet(f"{root}/data").select("_metadata.file_path")
+    by_file = files.groupBy("file_path").agg(F.count("*").alias("n"))
+    return by_file.groupBy(F.regexp_extract("file_path", FOLDER, 1).alias("path")).agg(F.sum("n").alias("file_rows"))
+
+
+def last_batch(spark: SparkSession, root: str, stream: str) -> int | None:
+    """The number of the last batch of that stream that the newest manifest holds."""
+    row = read_manifest(spark, root).agg(F.max(F.try_element_at("batches", F.lit(stream))).alias("n")).first()
+    return row["n"] if row else None
+
+
+def publish(
+    rows: DataFrame, root: str, by: Sequence[str], published_at: datetime, partial: bool = False, replaces: DataFrame | None = None, batch: tuple[str, int] | None = None
+) -> int:
     """Makes rows the dataset's new state, by partitions of the `by` columns. Returns how many partitions were written.
 
-    partial: only the partitions that rows have get a new state; the others stay. A partition is reused if its fingerprint,
-    which covers names and values of all columns, and its row count are as listed.
+    partial: only the partitions that rows have get a new state, and those that `replaces` (partition) names; a named one
+    without rows goes, all others stay. A partition is reused if its fingerprint (names and values of all columns), its row
+    count and its columns' types are as listed and its files, by their footers, hold as many rows; so a lost file or a
+    changed type is written again. batch: a stream's name and a batch number; a batch that the manifest holds already
+    publishes nothing and returns 0.
     """
     spark = rows.sparkSession
+    if batch and (done := last_batch(spark, root, batch[0])) is not None and done >= batch[1]:
+        return 0
+    types = rows.schema.simpleString()
     named = rows.withColumn("_partition", partition_label(by))
     now = fingerprint(named, ["_partition"]).withColumnRenamed("_partition", "partition")
     listed = read_manifest(spark, root)
-    old = listed.select("partition", "fingerprint", F.col("row_count").alias("old_count"), F.col("path").alias("old_path"))
+    held = listed.join(footer_counts(spark, root), "path", "left").filter((F.col("row_count") == F.col("file_rows")) & (F.col("schema") == types))
+    old = held.select("partition", "fingerprint", F.col("row_count").alias("old_count"), F.col("path").alias("old_path"))
     plan = now.join(old, ["partition", "fingerprint"], "left").withColumn("same", F.col("old_count").eqNullSafe(F.col("row_count")))
     versions = _versions(spark, root)
     version, staging = (versions[-1] if versions else 0) + 1, f"data/{uuid.uuid4().hex}"
+    plan_path = f"{root}/plans/{uuid.uuid4().hex}"
+    plan.write.parquet(plan_path)  # one row per partition: the rows are fingerprinted once
+    plan = spark.read.schema(plan.schema).parquet(plan_path)
     changed = plan.filter("NOT same").select(F.col("partition").alias("_partition"))
     todo = named.join(changed, "_partition", "left_semi").withColumn("_folder", F.sha2("_partition", 256))
-    todo.drop("_partition").write.partitionBy("_folder").option("compression", "zstd").parquet(f"{root}/{staging}")
+    todo.drop("_partition").hint("rebalance", "_folder").write.partitionBy("_folder").option("compression", "zstd").parquet(f"{root}/{staging}")
     folder = F.concat(F.lit(f"{staging}/_folder="), F.sha2("partition", 256))
-    manifest = plan.select("partition", F.when(F.col("same"), F.col("old_path")).otherwise(folder).alias("path"), "row_count", "fingerprint")
+    manifest = plan.select("partition", F.when(F.col("same"), F.col("old_path")).otherwise(folder).alias("path"), "row_count", "fingerprint", F.lit(types).alias("schema"))
     if partial:
-        manifest = manifest.unionByName(listed.select(*manifest.columns).join(now.select("partition"), "partition", "left_anti"))
-    manifest = manifest.select(F.lit(version).cast("long").alias("version"), F.lit(published_at).alias("published_at_utc"), *manifest.columns)
+        gone = now.select("partition") if replaces is None else now.select("partition").union(replaces.select("partition"))
+        manifest = manifest.unionByName(listed.select(*manifest.columns).join(gone, "partition", "left_anti"))
+    seen = dict(held[0]) if (held := listed.select("batches").filter("batches IS NOT NULL").first()) else {}
+    seen |= dict([batch]) if batch else {}
+    batches = F.create_map(*[x for k, v in sorted(seen.items()) for x in (F.lit(k), F.lit(v).cast("long"))]) if seen else F.lit(None)
+    manifest = manifest.select(F.lit(version).cast("long").alias("version"), F.lit(published_at).alias("published_at_utc"), *manifest.columns, batches.cast("map<string,bigint>").alias("batches"))
     manifest.coalesce(1).write.option("compression", "zstd").parquet(f"{root}/manifests/{version:010d}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(plan_path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return read_manifest(spark, root).filter(F.col("path").startswith(staging)).count()
 
 
@@ -97,7 +133,7 @@ def verify(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], "partition string, valid boolean")
     rows = spark.read.schema(schema).parquet(*paths)
-    placed = rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]+/_folder=[0-9a-f]+)/[^/]+$", 1).alias("path"))
+    placed = rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1).alias("path"))
     found = fingerprint(placed, ["path"]).select("path", F.col("row_count").alias("_rows"), F.col("fingerprint").alias("_print"))
     valid = F.coalesce((F.col("row_count") == F.col("_rows")) & (F.col("fingerprint") == F.col("_print")), F.lit(False))
     return listed.join(found, "path", "left").select("partition", valid.alias("valid"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import IDENTITY
 from ..operators.reconcile import latest_per
-from ..sources.lake import partition_label, publish, read_dataset
+from ..sources.lake import last_batch, partition_label, publish, read_dataset
 
 
 def deduplicated(stream: DataFrame, delay: str = "7 days") -> DataFrame:
@@ -25,16 +25,19 @@ def merge_batch(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return stored.join(newest.select(*IDENTITY, "trade_date"), [*IDENTITY, "trade_date"], "left_anti").unionByName(newest)
 
 
-def publish_stream(stream: DataFrame, root: str, checkpoint: str, columns: list[str], published_at: datetime) -> StreamingQuery:
+def publish_stream(stream: DataFrame, root: str, checkpoint: str, columns: list[str], published_at: datetime | None = None) -> StreamingQuery:
     """Publishes every micro-batch as the lake's next state, reading and writing only the partitions that it touches.
 
-    A batch that is repeated after a failure gives the same state, so its number needn't be kept.
+    The manifest holds the last batch of each stream, named by its checkpoint, so a batch that is repeated after a failure
+    publishes nothing. published_at: one time for all batches; by default each batch's own.
     """
     schema, by = stream.select(*columns).schema, ["exchange", "code"]
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
+        if (done := last_batch(batch.sparkSession, root, checkpoint)) is not None and done >= number:
+            return
         touched = batch.select(partition_label(by).alias("partition")).distinct()
         stored = read_dataset(batch.sparkSession, root, schema, touched)
-        publish(merge_batch(stored, batch), root, by, published_at, partial=True)
+        publish(merge_batch(stored, batch), root, by, published_at or datetime.now(UTC), partial=True, batch=(checkpoint, number))
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

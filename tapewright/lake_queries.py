@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.normalize import IDENTITY
+from .operators.ordering import enveloped_fingerprint, fingerprint_ranges, order_state
 from .sources.lake import read_dataset, read_manifest
 from .sources.market_tables import QUOTES_SQL, quotes, table
 from .sources.scratch import scratch_path
@@ -95,3 +96,47 @@ def gold_sink(spark: SparkSession, d: str) -> DataFrame:
     held = spark.read.option("recursiveFileLookup", True).parquet(root)
     files = held.groupBy("exchange", "code").agg(F.countDistinct("_metadata.file_name").cast("int").alias("files"))
     return plan.select("exchange", "code", "row_count", "written").join(files, ["exchange", "code"])
+
+
+_DIGEST = """sha256('tapewright:row:v1' || chr(10) || '{"code":"' || code || '","exchange":"XTST","isin":"' || isin || '","trade_date":"' || trade_date || '","volume":' || volume || '}')"""
+_KEY = """'["' || isin || '","XTST","' || code || '","' || trade_date || '"]'"""
+_TOMB = """sha256('tapewright:row:v1' || chr(10) || '{"code":"' || code || '","exchange":"XTST","isin":"' || isin || '","trade_date":"' || trade_date || '"}')"""
+
+
+def _ranges_sql(name: str, source: str, order: str) -> str:
+    """Ranges of the rows (key, d) of source; a range begins where d begins with three zeros."""
+    return f"{name}g AS (SELECT *, sum(CASE WHEN d LIKE '000%' THEN 1 ELSE 0 END) OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS g FROM {source}), {name} AS (SELECT g, min(key) AS range_start, max(key) AS range_end, sum(n)::BIGINT AS n, sha256(string_agg(d, '' ORDER BY {order})) AS d, min(key) AS key FROM {name}g GROUP BY g)"
+
+
+_PRINT = lambda name: f"(SELECT sha256(string_agg(d, ',' ORDER BY g)) FROM {name}2)"
+
+
+@_query("enveloped_fingerprint", f"""WITH q AS (SELECT * FROM ({QUOTES_SQL}) AS x), a AS (SELECT {_KEY} AS key, 1 AS n, {_DIGEST} AS d FROM q WHERE volume % 9 <> 0), r AS (SELECT {_KEY} AS key, 1 AS n, {_TOMB} AS d FROM q WHERE volume % 9 = 0),
+{_ranges_sql('a1', 'a', 'key')}, {_ranges_sql('a2', '(SELECT g AS o, key, n, d FROM a1)', 'o')}, {_ranges_sql('r1', 'r', 'key')}, {_ranges_sql('r2', '(SELECT g AS o, key, n, d FROM r1)', 'o')}
+SELECT (SELECT count(*) FROM a) AS row_count, (SELECT count(*) FROM r) AS retracted_count, sha256('{{"retracted":"' || {_PRINT('r')} || '","rows":"' || {_PRINT('a')} || '"}}') AS fingerprint""")
+def enveloped_fingerprint_row(spark: SparkSession, d: str) -> DataFrame:
+    rows = quotes(spark, d).select(*IDENTITY, "trade_date", "volume")
+    keys = [*IDENTITY, "trade_date"]
+    return enveloped_fingerprint(rows.filter("volume % 9 <> 0"), rows.filter("volume % 9 = 0"), keys, keys)
+
+
+@_query("changed_ranges", f"""WITH q AS (SELECT * FROM ({QUOTES_SQL}) AS x), old AS (SELECT {_KEY} AS key, 1 AS n, {_DIGEST} AS d FROM q), new AS (SELECT {_KEY} AS key, 1 AS n, {_DIGEST} AS d FROM (SELECT isin, code, trade_date, CASE WHEN isin LIKE '%3' AND month(trade_date) = 5 AND day(trade_date) = 7 THEN volume + 1 ELSE volume END AS volume FROM q)),
+{_ranges_sql('old1', 'old', 'key')}, {_ranges_sql('new1', 'new', 'key')}
+SELECT range_start, range_end, n AS row_count, d AS range_sha256 FROM new1 WHERE d NOT IN (SELECT d FROM old1)""")
+def changed_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The ranges of keys in which two states differ."""
+    rows, keys = quotes(spark, d).select(*IDENTITY, "trade_date", "volume"), [*IDENTITY, "trade_date"]
+    now = rows.withColumn("volume", F.expr("CASE WHEN isin LIKE '%3' AND month(trade_date) = 5 AND day(trade_date) = 7 THEN volume + 1 ELSE volume END"))
+    return fingerprint_ranges(now, keys).join(fingerprint_ranges(rows, keys).select("range_sha256"), "range_sha256", "left_anti").select("range_start", "range_end", "row_count", "range_sha256")
+
+
+@_query("order_state", f"WITH q AS (SELECT isin, trade_date FROM ({QUOTES_SQL}) AS x) SELECT kind, (SELECT count(*) FROM q) AS row_count, CASE kind WHEN 'swapped' THEN (SELECT count(DISTINCT isin) - 1 FROM q) ELSE 0 END AS falls, 0::BIGINT AS ties, kind <> 'swapped' AS sorted, true AS \"unique\" FROM (VALUES ('sorted'), ('swapped')) AS k(kind)")
+def order_state_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Stored quotes in the order of their keys, and the same files read as if dates came first and instruments after them, downwards."""
+    path = scratch_path(spark, "sorted-quotes")
+    quotes(spark, d).select("isin", "trade_date").orderBy("isin", "trade_date").write.parquet(path)
+    held = spark.read.parquet(path)
+    dated = held.withColumn("down", F.concat(F.lit("S"), F.lpad((F.lit(999999999) - F.substring("isin", 2, 9).cast("bigint")).cast("string"), 9, "0")))
+    kinds = ((held, ["isin", "trade_date"], "sorted"), (dated, ["down", "trade_date"], "swapped"))
+    a, b = (order_state(rows, keys).select(F.lit(kind).alias("kind"), "row_count", "falls", "ties", "sorted", "unique") for rows, keys, kind in kinds)
+    return a.unionByName(b)

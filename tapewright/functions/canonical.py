@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Columns that say when a row was fetched or published; they never change what a row means.
 AUDIT = ("fetched_at_utc", "published_at_utc", "run_id")
+#: The control characters whose escapes have letters.
+_LETTERED = [f"{c:02X}" for c in range(32) if c % 16 > 9 and chr(c) not in "\n\f\r"]
 DIGEST_SPACE = "tapewright:row:v1"
 
 
@@ -41,8 +43,12 @@ def overlap_start(last: Column, days: int = 7) -> Column:
 
 
 def canonical_json(columns: Sequence[str]) -> Column:
-    """Compact JSON of the columns in alphabetical order, nulls kept."""
-    return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
+    """Compact JSON of the columns in alphabetical order, nulls kept, control characters with lower-case digits."""
+    text = F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
+    lower = text
+    for code in _LETTERED:
+        lower = F.regexp_replace(lower, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")  # after an even number of backslashes
+    return F.when(text.rlike(r"\\u00[01][A-F]"), lower).otherwise(text)
 
 
 def entity_key(columns: Sequence[str]) -> Column:

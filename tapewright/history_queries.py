@@ -16,7 +16,7 @@ from .operators.history import (
 from .operators.normalize import IDENTITY, normalize_dividends, normalize_listings, normalize_quotes, normalize_splits
 from .operators.reconcile import fingerprint, missing_rows
 from .operators.standardize import standardize_fold
-from .sources.market_tables import quotes, table
+from .sources.market_tables import QUOTES_SQL, quotes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -313,27 +313,20 @@ def fold_standardize_members(spark: SparkSession, d: str) -> DataFrame:
     return done.select(*_LINE_KEYS, "split", (F.round("l_quantity", 6) + F.lit(0.0)).alias("l_quantity"))
 
 
-# The benchmark frame: 100 instruments of 1,000 days each.
-_MICRO = "SELECT id // 1000 AS i, id % 1000 AS n FROM (SELECT unnest(range(0, 100000)) AS id) AS x"
-_MICRO_WINDOWS = "WINDOW w AS (PARTITION BY i ORDER BY n), w4 AS (PARTITION BY i ORDER BY n ROWS 3 PRECEDING), w5 AS (PARTITION BY i ORDER BY n ROWS 4 PRECEDING), w20 AS (PARTITION BY i ORDER BY n ROWS 19 PRECEDING)"
-_MICRO_SQL = f"""s1 AS (SELECT *, ln(p / lag(p) OVER w) AS r FROM frame {_MICRO_WINDOWS})
-SELECT i, n, r AS log_return_1, CASE WHEN count(r) OVER w4 = 4 THEN exp(sum(r) OVER w4) - 1 END AS rolling_cum_return_4, CASE WHEN count(r) OVER w5 = 5 THEN avg(r) OVER w5 END AS adjusted_close_return_mean_5obs,
-CASE WHEN count(r) OVER w20 = 20 THEN stddev_samp(r) OVER w20 END AS adjusted_close_volatility_20obs, CASE WHEN count(p) OVER w20 = 20 THEN avg(p) OVER w5 / avg(p) OVER w20 END AS adjusted_close_sma_ratio_5_20,
-CASE WHEN count(v) OVER w20 = 20 THEN v / avg(v) OVER w20 END AS relative_volume_20obs FROM s1 {_MICRO_WINDOWS}"""
+_MICRO_WINDOWS = "WINDOW w AS (PARTITION BY isin ORDER BY trade_date), w4 AS (PARTITION BY isin ORDER BY trade_date ROWS 3 PRECEDING), w5 AS (PARTITION BY isin ORDER BY trade_date ROWS 4 PRECEDING), w20 AS (PARTITION BY isin ORDER BY trade_date ROWS 19 PRECEDING)"
 _MICRO_NAMES = ("log_return_1", "rolling_cum_return_4", "adjusted_close_return_mean_5obs", "adjusted_close_volatility_20obs", "adjusted_close_sma_ratio_5_20", "relative_volume_20obs")
-_FRAME = "CAST(80 AS DOUBLE) + i * CAST(0.07 AS DOUBLE) + n * CAST(0.003 AS DOUBLE) + ((n * 17 + i * 5) % 23) * CAST(0.004 AS DOUBLE) AS p, CAST(500 + i * 7 + (n % 31) * 11 + ((n * 17) % 13) AS DOUBLE) AS v"
 
 
-def window_micro_frame(spark: SparkSession) -> DataFrame:
-    return spark.range(100_000).selectExpr("id div 1000 AS i", "id % 1000 AS n").selectExpr("i", "n", *[x.strip() for x in _FRAME.split(", CAST(500")[:1]], "CAST(500" + _FRAME.split(", CAST(500")[1])
+def _micro_sql(source: str) -> str:
+    """Six window features of the quotes in one plan: one exchange and one sort by instrument."""
+    full = lambda n, x: f"CASE WHEN count(r) OVER w{n} = {n} THEN {x} END"
+    level = lambda x: f"CASE WHEN count(p) OVER w20 = 20 THEN {x} END"
+    made = ("r", full(4, "exp(sum(r) OVER w4) - 1"), full(5, "avg(r) OVER w5"), full(20, "stddev_samp(r) OVER w20"), level("avg(p) OVER w5 / avg(p) OVER w20"), level("v / avg(v) OVER w20"))
+    named = ", ".join(f"round({x}, 9) + CAST(0 AS DOUBLE) AS {n}" for x, n in zip(made, _MICRO_NAMES))
+    return f"""WITH frame AS (SELECT isin, trade_date, CAST(adjusted_close AS DOUBLE) AS p, CAST(volume AS DOUBLE) AS v FROM {source}),
+s1 AS (SELECT *, ln(p / lag(p) OVER w) AS r FROM frame {_MICRO_WINDOWS}) SELECT isin, trade_date, {named} FROM s1 {_MICRO_WINDOWS}"""
 
 
-def window_micro(spark: SparkSession) -> DataFrame:
-    """The six window features over the benchmark frame, in one plan: one exchange and one sort by instrument."""
-    return spark.sql("WITH " + _MICRO_SQL.replace("FROM frame", "FROM {frame}"), frame=window_micro_frame(spark))
-
-
-@_query("window_micro", f"WITH frame AS (SELECT i, n, {_FRAME} FROM ({_MICRO}) AS x), done AS (WITH {_MICRO_SQL}) SELECT i::BIGINT AS i, n::BIGINT AS n, {', '.join(f'round({c}, 9) + CAST(0 AS DOUBLE) AS {c}' for c in _MICRO_NAMES)} FROM done")
-def window_micro_rounded(spark: SparkSession, d: str) -> DataFrame:
-    return window_micro(spark).select("i", "n", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in _MICRO_NAMES])
-
+@_query("window_micro", _micro_sql(f"({QUOTES_SQL}) AS q"))
+def window_micro(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(_micro_sql("{q}"), q=quotes(spark, d))

@@ -11,7 +11,7 @@ from .functions.canonical import canonical_decimal, event_key, next_business_day
 from .operators.normalize import IDENTITY, normalize_listings, violations
 from .operators.reconcile import (
     action_counts, changed_instruments, difference, digests, duplicate_count, fetched_at, fingerprint, key_differences,
-    last_dates, latest_per, merge_lifecycle, missing_rows, orphans, reconcile_actions, replace_quote_window, upserted,
+    last_dates, latest_per, merge_lifecycle, missing_rows, mutation_counts, orphans, reconcile_actions, replace_quote_window, upserted,
 )
 from .operators.standardize import fold_statistics, standardize
 from .sources.lake import quarantined_keys
@@ -62,6 +62,17 @@ def quote_delta_classify(spark: SparkSession, d: str) -> DataFrame:
     return difference(*_versions(spark, d), KEYS).agg(count("insert").alias("inserted"), count("delete").alias("deleted"), count("update").alias("corrected"))
 
 
+_STATUS = "CASE WHEN volume % 5 = 0 THEN 'retracted' ELSE 'active' END AS status"
+
+
+@_query("mutation_counts", f"""WITH {_VERSIONS}, a AS (SELECT *, {_STATUS} FROM desired), b AS (SELECT *, CASE WHEN volume % 10 = 0 THEN 'retracted' ELSE 'active' END AS status FROM current),
+k AS (SELECT CASE WHEN a.status = 'retracted' AND b.status IS DISTINCT FROM 'retracted' THEN 'r' WHEN b.isin IS NULL THEN 'i' WHEN a.isin IS NULL THEN 'd' WHEN a.status <> b.status OR {_DISTINCT} THEN 'u' END AS k FROM a FULL JOIN b ON {_ON}),
+n AS (SELECT count(*) FILTER (k = 'i') AS inserted, count(*) FILTER (k = 'u') AS updated, count(*) FILTER (k = 'd') AS deleted, count(*) FILTER (k = 'r') AS retracted, count(k) AS total FROM k) SELECT * FROM n""")
+def mutation_counts_row(spark: SparkSession, d: str) -> DataFrame:
+    desired, current = _versions(spark, d)
+    return mutation_counts(desired.withColumn("status", F.expr(_STATUS.removesuffix(" AS status"))), current.withColumn("status", F.expr("CASE WHEN volume % 10 = 0 THEN 'retracted' ELSE 'active' END")), KEYS, "status")
+
+
 @_query("upsert_result", f"WITH {_VERSIONS} SELECT {', '.join('a.' + k for k in KEYS)}, a.close, a.volume, CASE WHEN b.isin IS NOT NULL AND NOT {_DISTINCT} THEN b.run_id ELSE a.run_id END AS run_id FROM desired a LEFT JOIN current b ON {_ON}")
 def upsert_result(spark: SparkSession, d: str) -> DataFrame:
     return upserted(*_versions(spark, d), KEYS)
@@ -249,3 +260,15 @@ def fetch_times(spark: SparkSession, d: str) -> DataFrame:
     q = quotes(spark, d).select(*KEYS)
     years = q.select(*IDENTITY, F.year("trade_date").alias("at")).distinct().filter("at % 2 = 0")
     return fetched_at(q, years.select(*IDENTITY, F.expr("make_date(at, 1, 1)").alias("start_date"), F.expr("make_date(at, 9, 30)").alias("end_date"), "at"), F.lit(0))
+
+
+_OVERLAPS = "SELECT isin, exchange, code, s, s + n * 40 AS e, n * 100 + k AS at FROM (SELECT DISTINCT isin, exchange, code FROM q) AS z, (SELECT unnest(range(1, 30))::INT AS k) AS x, (SELECT unnest(range(0, 3))::INT AS n) AS y, LATERAL (SELECT DATE '1992-01-01' + k * 83 AS s) AS t"
+
+
+@_query("fetch_times_overlapping", f"WITH {_Q}, w AS ({_OVERLAPS}), m AS (SELECT q.isin, q.trade_date, arg_min(w.at, (w.s, w.e, w.at)) AS at FROM q JOIN w ON q.isin = w.isin AND q.trade_date BETWEEN w.s AND w.e GROUP BY ALL) SELECT q.isin, q.exchange, q.code, q.trade_date, coalesce(m.at, 0)::INT AS fetched_at_utc FROM q LEFT JOIN m USING (isin, trade_date)")
+def fetch_times_overlapping(spark: SparkSession, d: str) -> DataFrame:
+    """Windows that overlap and lie in each other: 87 for each instrument."""
+    q = quotes(spark, d).select(*KEYS)
+    windows = q.select(*IDENTITY).distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(29)))).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    start = F.expr("date_add(DATE '1992-01-01', k * 83)")
+    return fetched_at(q, windows.select(*IDENTITY, start.alias("start_date"), F.date_add(start, F.col("n") * 40).alias("end_date"), (F.col("n") * 100 + F.col("k")).alias("at")), F.lit(0))

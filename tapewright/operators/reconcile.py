@@ -163,12 +163,43 @@ def latest_per(rows: DataFrame, by: Sequence[str], order: Sequence[Column]) -> D
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
+def disjoint_windows(windows: DataFrame) -> DataFrame:
+    """Identity, start_date, end_date and at of stretches that don't overlap: each day has the window that begins first, then ends first.
+
+    A window holds the days after the last one of all windows before it.
+    """
+    order = Window.partitionBy(*IDENTITY).orderBy("start_date", "end_date", "at")
+    before = F.max("end_date").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    start = F.greatest("start_date", F.date_add(before, 1))  # greatest skips nulls
+    whole = windows.filter(" AND ".join(f"{c} IS NOT NULL" for c in (*IDENTITY, "start_date", "end_date")))
+    return whole.select(*IDENTITY, start.alias("start_date"), "end_date", "at").filter("start_date <= end_date")
+
+
 def fetched_at(rows: DataFrame, windows: DataFrame, default: Column) -> DataFrame:
-    """Adds fetched_at_utc: of the fetch windows (identity, start_date, end_date, at) that hold the row's date, the first."""
+    """Adds fetched_at_utc: of the fetch windows (identity, start_date, end_date, at) that hold the row's date, the first.
+
+    Rows and the starts of disjoint windows go through one ordered pass for each identity, so no row is multiplied by windows.
+    """
+    starts = disjoint_windows(windows).select(*IDENTITY, F.col("start_date").alias("trade_date"), F.struct("end_date", "at").alias("_window"))
+    both = rows.withColumn("_row", F.lit(True)).unionByName(starts.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    order = Window.partitionBy(*IDENTITY).orderBy("trade_date", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("_window", F.last("_window", ignorenulls=True).over(order)).filter("_row")
+    inside = F.col("trade_date") <= F.col("_window.end_date")
+    return met.select(*rows.columns, F.coalesce(F.when(inside, F.col("_window.at")), default).alias("fetched_at_utc"))
+
+
+def mutation_counts(desired: DataFrame, current: DataFrame, keys: Sequence[str], status: str | None = None) -> DataFrame:
+    """One row: inserted, updated, deleted and retracted rows, and their total. Audit columns don't count.
+
+    A row that is retracted now and wasn't before, new ones among them, is retracted and neither updated nor inserted.
+    """
+    values = [c for c in desired.columns if c not in (*keys, *AUDIT)]
+    a, b = desired.withColumn("_in", F.lit(True)).alias("a"), current.withColumn("_in", F.lit(True)).alias("b")
     on = F.lit(True)
-    for k in IDENTITY:
-        on &= F.col(f"r.{k}") == F.col(f"w.{k}")
-    on &= F.col("r.trade_date").between(F.col("w.start_date"), F.col("w.end_date"))
-    joined = rows.alias("r").join(windows.alias("w"), on, "left")
-    first = F.min(F.struct("w.start_date", "w.end_date", "w.at"))["at"]
-    return joined.groupBy(*[F.col(f"r.{c}") for c in rows.columns]).agg(F.coalesce(first, default).alias("fetched_at_utc"))
+    for k in keys:
+        on &= F.col(f"a.{k}") == F.col(f"b.{k}")
+    here, there = F.col("a._in").isNotNull(), F.col("b._in").isNotNull()
+    gone = F.lit(False) if status is None else F.col(f"a.{status}").eqNullSafe("retracted") & ~F.col(f"b.{status}").eqNullSafe("retracted")
+    kind = F.when(here & gone, "retracted").when(~there, "inserted").when(~here, "deleted").when(~_same(values), "updated")
+    counts = a.join(b, on, "full_outer").select(kind.alias("kind")).agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("inserted", "updated", "deleted", "retracted")])
+    return counts.withColumn("total", F.col("inserted") + F.col("updated") + F.col("deleted") + F.col("retracted"))

@@ -1,12 +1,14 @@
 import datetime
 import decimal
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tapewright.functions.canonical import canonical_decimal, next_business_day
+from tapewright.functions.canonical import canonical_decimal, canonical_json, next_business_day
 from tapewright.operators.normalize import normalize_dividends, normalize_listings, normalize_quotes, normalize_splits, violations
-from tapewright.operators.reconcile import action_counts, changed_instruments, difference, digests, distinct_or_error, fingerprint, merge_lifecycle, missing_rows, reconcile_actions, replace_quote_window, upserted
+from tapewright.operators.reconcile import action_counts, changed_instruments, difference, digests, distinct_or_error, fetched_at, fingerprint, merge_lifecycle, missing_rows, mutation_counts, reconcile_actions, replace_quote_window, upserted
 from tapewright.operators.standardize import fold_statistics, standardize
 
 DAY = datetime.date
@@ -120,3 +122,33 @@ def test_standardize(spark):
     assert got == {1: (-1.0, None), 2: (1.0, None), 3: (7.0, None), 4: (9.0, None)}
     with pytest.raises(Exception, match="not finite"):
         standardize(rows.withColumn("x", F.when(F.col("k") == 4, float("inf")).otherwise(F.col("x"))), ["x"]).collect()
+
+
+def test_control_characters_in_json(spark):
+    """All 32, and text that only looks like an escape, are written as Python writes them."""
+    texts = [chr(c) for c in range(32)] + ["\x0b\x0b\x1f", "\\u000B", "\\\x0b", "\\\\u001A", "a\x7f\u2028"]
+    rows = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "t string, k int")
+    got = {r.k: r.j for r in rows.select("k", canonical_json(["t"]).alias("j")).collect()}
+    assert got == {k: json.dumps({"t": t}, ensure_ascii=False, separators=(",", ":")) for k, t in enumerate(texts)}
+
+
+def test_fetch_times_equal_brute_force(spark):
+    rng = random.Random(8)
+    day = lambda k: datetime.date(2026, 1, 1) + datetime.timedelta(k)
+    schema = "isin string, exchange string, code string"
+    for _ in range(3):
+        wins = [(rng.choice("AB"), "X", "c", day(s := rng.randrange(60)), day(s + rng.randrange(-1, 25)), k) for k in range(rng.randrange(25))] + [("A", "X", "c", None, day(9), 99), (None, "X", "c", day(0), day(90), 98)]
+        rows = [(rng.choice("ABC"), "X", "c", day(rng.randrange(-5, 90)), k) for k in range(120)] + [("A", "X", "c", None, 0), (None, "X", "c", day(3), 0)]
+        found = fetched_at(spark.createDataFrame(rows, schema + ", trade_date date, v int"), spark.createDataFrame(wins, schema + ", start_date date, end_date date, at int"), F.lit(-1))
+        best = lambda r: min(((s, e, a) for i, _, _, s, e, a in wins if None not in (i, s, r[0], r[3]) and i == r[0] and s <= r[3] <= e), default=(0, 0, -1))[2]
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((*r, best(r))) for r in rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_mutation_counts(spark):
+    a = spark.createDataFrame([(1, "active", 1), (2, "retracted", 1), (3, "retracted", 1), (4, "retracted", 2), (5, "active", 1), (6, "active", 2)], "k int, status string, v int")
+    b = spark.createDataFrame([(1, "active", 1), (2, "active", 1), (4, "retracted", 1), (6, "active", 1), (7, "active", 1)], "k int, status string, v int")
+    assert tuple(mutation_counts(a, b, ["k"], "status").first()) == (1, 2, 1, 2, 6)
+    assert tuple(mutation_counts(a, b, ["k"]).first()) == (2, 3, 1, 0, 6)
+    assert tuple(mutation_counts(a.limit(0), b.limit(0), ["k"]).first()) == (0, 0, 0, 0, 0)

@@ -3,14 +3,16 @@
 A seed is the hash of the tokens under a mask; the tokens that the mask leaves out may differ. MASKS hit every stretch
 of MIN_TOKENS tokens or more in which a fifth is substituted, wherever the substitutions fall: tests go through all of
 them for 13 tokens with 2, 15 with 3, 20 with 4 and 25 with 5. A stretch of fewer than 26 tokens holds one of these, and a
-longer one has a half that is no worse than a fifth. SHORT_MASKS do the same for whole items of 5 to 12 tokens. Seeds of the benchmark fill a Bloom filter of a
-fixed size; seeds of the documents that pass it are joined with the benchmark's, and each hit's diagonal is then
-verified on the whole texts.
+longer one has a half that is no worse than a fifth. SHORT_MASKS do the same for whole items of 5 to 12 tokens. Seeds of
+the benchmark fill a Bloom filter of a fixed size; seeds of the documents that pass it are joined with the benchmark's and
+counted for each diagonal. A short item has a number of seeds on its diagonal whatever the changes, so one with fewer is
+no candidate; the diagonals that are left get their texts and are verified as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +48,14 @@ def _seeds(tokens: np.ndarray, bounds: np.ndarray, masks: tuple[tuple[int, ...],
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def fewest_seeds(size: int) -> int:
+    """How many seeds by SHORT_MASKS a whole item of so many tokens keeps at least, whichever fifth of them is substituted."""
+    places = [{o + k for k in m} for m in SHORT_MASKS for o in range(size - m[-1])]
+    return min(sum(not p & set(changed) for p in places) for changed in combinations(range(size), size // 5))
+
+
 def _seed_rows(texts: DataFrame, short: bool, filter_=None) -> DataFrame:
-    """seed, id, place for each text's seeds, or for those that the filter lets pass; a repeat in one text counts each time.
+    """seed, id, place and n (the text's tokens) for each text's seeds, or for those that the filter lets pass; a repeat in one text counts each time.
 
     Without a filter the texts are benchmark items: of these, the short ones alone have seeds by SHORT_MASKS.
     """
@@ -68,9 +76,10 @@ def _seed_rows(texts: DataFrame, short: bool, filter_=None) -> DataFrame:
                 if filter_ is not None:
                     keep = _has(filter_.value, _bits(seed, LOG2_BITS))
                     seed, text, place = seed[keep], text[keep], place[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), part.column(0).take(pa.array(text)), pa.array(place, pa.int64())], names=["seed", "id", "place"])
+                n = np.diff(bounds)[text]
+                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), part.column(0).take(pa.array(text)), pa.array(place, pa.int64()), pa.array(n, pa.int64())], names=["seed", "id", "place", "n"])
 
-    return texts.mapInArrow(run, f"seed long, id {kind}, place long")
+    return texts.mapInArrow(run, f"seed long, id {kind}, place long, n long")
 
 
 def _filter(seeds: DataFrame) -> np.ndarray:
@@ -90,7 +99,10 @@ def _filter(seeds: DataFrame) -> np.ndarray:
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, percent: int) -> tuple[int, int, int]:
-    """Place in doc, tokens and equal tokens of the longest stretch of the diagonal with that share of equal tokens."""
+    """Place in doc, tokens and equal tokens of the longest stretch of the diagonal with that share of equal tokens.
+
+    Of several the one with most equal tokens, then the first. Its ends may be substituted as any of its tokens.
+    """
     a, b = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     if a >= b:
         return 0, 0, 0
@@ -98,13 +110,11 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, percent: int)
     run = np.concatenate([[0], np.cumsum(np.where(same, 100 - percent, -percent))])
     ahead = np.maximum.accumulate(run[::-1])[::-1]  # falls; a stretch from s may end at the last e with ahead[e] >= run[s]
     ends = np.searchsorted(-ahead, -run, side="right") - 1
-    s = int(np.argmax(ends - np.arange(len(run))))
-    e = int(ends[s])
-    while e > s and not same[e - 1]:
-        e -= 1
-    while s < e and not same[s]:
-        s += 1
-    return a + diagonal + s, e - s, int(same[s:e].sum())
+    sizes, equals = ends - np.arange(len(run)), np.concatenate([[0], np.cumsum(same)])
+    longest = np.flatnonzero(sizes == sizes.max())
+    equal = equals[ends[longest]] - equals[longest]
+    best = int(np.argmax(equal))
+    return a + diagonal + int(longest[best]), int(sizes.max()), int(equal[best])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -124,8 +134,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     size = F.size(F.split(F.col("text"), TOKEN_GAP, -1))  # a text of n tokens has at most n + 2 pieces
     short = not items.filter(size <= MIN_TOKENS + 1).isEmpty()
     hits = _seed_rows(texts, short, filter_)
-    joined = hits.join(test.select("seed", F.col("id").alias("item"), F.col("place").alias("item_place")), "seed")
-    diagonals = joined.select("id", "item", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct()
+    of_items = test.select("seed", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("n").alias("item_tokens"))
+    joined = hits.select("seed", "id", "place").join(of_items, "seed")
+    counted = joined.groupBy("id", "item", "item_tokens", (F.col("place") - F.col("item_place")).alias("diagonal")).agg(F.count("*").alias("seeds"))
+    need = F.lit(1)
+    for n in range(SHORTEST_ITEM, MIN_TOKENS):
+        need = F.when(F.col("item_tokens") == n, fewest_seeds(n)).otherwise(need)
+    diagonals = counted.filter(F.col("seeds") >= need).select("id", "item", "diagonal").distinct()
     held = materialize(diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item"), "hits")
     by_item = held.groupBy("id", "item", "item_text").agg(F.collect_set("diagonal").alias("diagonals"))
     # a document that meets very many items gets several rows of about ITEMS_AT_ONCE items each

@@ -50,7 +50,7 @@ def leaks(text, items):
             same = [doc[d + k] == item[k] for k in range(max(0, -d), min(len(item), len(doc) - d))]
             for a in range(len(same)):
                 for b in range(a + min(13, len(item)), len(same) + 1):
-                    if same[a] and same[b - 1] and 100 * sum(same[a:b]) >= 80 * (b - a):
+                    if 100 * sum(same[a:b]) >= 80 * (b - a):
                         return True
     return False
 

@@ -72,7 +72,27 @@ def test_masks_hit_all_patterns_of_a_fifth(size, changes):
 
 @pytest.mark.parametrize("size", range(5, 13))
 def test_short_masks_hit_all_patterns_of_a_fifth(size):
-    assert _missed(decontamination.SHORT_MASKS, size, size // 5, inside=1) == []
+    assert _missed(decontamination.SHORT_MASKS, size, size // 5) == [] and decontamination.fewest_seeds(size) > 0
+
+
+def test_decontamination_finds_changed_ends_and_bounds_hot_phrases(spark, monkeypatch):
+    """Items whose first and last tokens are changed are found, and a phrase that many share makes few candidates."""
+    thirteen, five = [f"a{k}" for k in range(13)], [f"b{k}" for k in range(5)]
+    docs = [(1, " ".join(["x", *thirteen[1:12], "y", "z"])), (2, " ".join(["q", *five[1:], "r"])), (3, " ".join(["q", "q", *five[2:], "r"]))]
+    items = [(1, " ".join(thirteen)), (2, " ".join(five))]
+    frame = lambda rows, c: spark.createDataFrame(rows, f"{c} long, text string")
+    assert sorted((r.doc_id, r.item_id, r.n_equal) for r in decontamination.find_leaks(frame(docs, "doc_id"), frame(items, "item_id")).collect()) == [(1, 1, 11), (2, 2, 4)]
+    candidates, write = [], decontamination.materialize
+
+    def noted(df, what):
+        candidates.append((what, write(df, what)))
+        return candidates[-1][1]
+
+    monkeypatch.setattr(decontamination, "materialize", noted)
+    hot = "one very common phrase here"
+    many = frame([(k, " ".join(f"d{k}_{j}" for j in range(20)) + f" {hot} " + " ".join(f"e{k}_{j}" for j in range(20))) for k in range(300)], "doc_id")
+    asks = frame([(k, " ".join([*(f"i{k}_{j}" for j in range(k % 8)), hot, *(f"j{k}_{j}" for j in range(7 - k % 8))])) for k in range(80)], "item_id")
+    assert decontamination.find_leaks(many, asks).collect() == [] and dict(candidates)["hits"].count() == 0
 
 
 def test_decontamination_finds_every_overlap(spark):
@@ -103,9 +123,9 @@ def test_decontamination_finds_every_overlap(spark):
             item = tokens(t)
             for shift in range(-len(item), len(doc)):
                 same = [doc[shift + k] == item[k] for k in range(max(0, -shift), min(len(item), len(doc) - shift))]
-                ends = [k for k, s in enumerate(same) if s]
-                for a, b in itertools.product(ends, ends):
-                    n, equal = b - a + 1, sum(same[a : b + 1])
+                total = list(itertools.accumulate(same, initial=0))
+                for a, b in combinations(range(len(same) + 1), 2):
+                    n, equal = b - a, total[b] - total[a]
                     if len(item) >= 5 and n >= min(13, len(item)) and 100 * equal >= 80 * n:
                         want[i, j] = max(want.get((i, j), (0, 0, 0)), (n, equal, len(item)))
     assert got == want and (100, 100) in got and (103, 103) in got

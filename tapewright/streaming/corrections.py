@@ -50,7 +50,8 @@ def corrections(stream: DataFrame, values: Sequence[str], keep_ms: int | None =
     kind: insert (the key's first row), correction (another meaning, not older than the accepted row), late (another
     meaning, but older; it changes nothing). Rows that say what is accepted already are repeats and give no row. A batch's
     rows of one key count in the order of event_time, then meaning. keep_ms: how long a key's state lives without a change;
-    a row after that is an insert again.
+    a row after that is an insert again. With it the stream looks for expired states even without new rows, so it runs until
+    it is stopped, also where it is started for what is available now.
     """
     rows = stream.select(*keys, "event_time", canonical_json(list(values)).alias("meaning"))
     out = T.StructType([*[rows.schema[c] for c in (*keys, "event_time", "meaning")], T.StructField("kind", T.StringType())])

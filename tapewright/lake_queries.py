@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .operators.normalize import IDENTITY
 from .operators.ordering import enveloped_fingerprint, fingerprint_ranges, order_state
-from .sources.lake import read_dataset, read_manifest
+from .sources.lake import FOLDER, publish, read_dataset, read_manifest
 from .sources.market_tables import QUOTES_SQL, quotes, table
 from .sources.scratch import scratch_path
 from .sources.sinks import sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
@@ -87,6 +87,19 @@ def raw_listing_sink(spark: SparkSession, d: str) -> DataFrame:
     return held.join(names.withColumn("first", F.lit(True)), F.url_encode("symbol") == F.col("name"), "left").select("s_suppkey", "note", F.coalesce("first", F.lit(False)).alias("first"))
 
 
+@_query("lake_part", f"""WITH {_INDEX}, part AS (SELECT * FROM x WHERE isin IN ('R1', 'R3') AND month >= '1995-07')
+SELECT isin, count(*) AS row_count, sum(volume)::BIGINT AS volume, part_rows, part_volume, folders FROM x LEFT JOIN
+  (SELECT isin, count(*) AS part_rows, sum(volume)::BIGINT AS part_volume, count(DISTINCT month) AS folders FROM part GROUP BY isin) AS p USING (isin) GROUP BY ALL""")
+def lake_part(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of a lake by index, beside the part of two indexes from one month on: its rows, and how many folders its scan holds."""
+    root, rows = scratch_path(spark, "lake-part"), _index(spark, d).withColumn("month", F.date_format("date", "yyyy-MM"))
+    publish(rows, root, ["isin", "month"], _AT)
+    part = read_dataset(spark, root, rows.schema, where="isin IN ('R1', 'R3') AND month >= '1995-07'")
+    scanned = part.groupBy("isin").agg(F.count("*").alias("part_rows"), F.sum("volume").alias("part_volume"), F.countDistinct(F.regexp_extract("_metadata.file_path", FOLDER, 1)).alias("folders"))
+    whole = read_dataset(spark, root, rows.schema).groupBy("isin").agg(F.count("*").alias("row_count"), F.sum("volume").alias("volume"))
+    return whole.join(scanned, "isin", "left")
+
+
 @_query("gold_sink", f"SELECT exchange, code, count(*) AS row_count, substr(isin, 2)::BIGINT % 4 = 0 AS written, CASE WHEN substr(isin, 2)::BIGINT % 4 = 0 THEN 2 ELSE 1 END AS files FROM ({QUOTES_SQL}) AS q GROUP BY exchange, code, isin")
 def gold_sink(spark: SparkSession, d: str) -> DataFrame:
     """The second state changes a quarter of the instruments; the others' files are not written again."""

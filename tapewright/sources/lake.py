@@ -58,12 +58,35 @@ def partition_label(by: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("%null"))) for c in by])
 
 
-def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: DataFrame | None = None) -> DataFrame:
-    """The rows of the folders that the manifest lists, and of no others. only: a table of the partitions to read."""
+def _meets(listed: DataFrame, schema: T.StructType, where: Column | str) -> DataFrame:
+    """The listed partitions whose values, spelled in their names and typed as in schema, satisfy where; those not named by the same columns stay."""
+    first = listed.select("partition").first()
+    if first is None:
+        return listed
+    by = [part.split("=", 1)[0] for part in first["partition"].split("/")]
+    kinds = {f.name: f.dataType for f in schema}
+    spelled = F.str_to_map("partition", F.lit("/"), F.lit("="))
+    text = {c: F.try_element_at(spelled, F.lit(c)) for c in by}
+    values = [F.when(text[c] != "%null", F.url_decode(text[c])).cast(kinds.get(c, T.StringType())).alias(c) for c in by]
+    alike = F.array_sort(F.map_keys(spelled)) == F.array_sort(F.array(*map(F.lit, by)))
+    named = listed.select(F.struct(*listed.columns).alias("_listed"), alike.alias("_alike"), *values)
+    meets = F.expr(where) if isinstance(where, str) else where
+    return named.filter(meets | ~F.col("_alike")).select("_listed.*")
+
+
+def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: DataFrame | None = None, where: Column | str | None = None) -> DataFrame:
+    """The rows of the folders that the manifest lists, and of no others. only: a table of the partitions to read.
+
+    where: a condition on the columns that partitions are made by, such as "isin = 'A' AND month >= '2024-01'". The manifest
+    settles it, so the scan's plan names the folders of matching partitions only; the rows have to meet it too. Conditions on
+    other columns belong in a filter of the result, which the Parquet scan takes on, as it does the choice of columns.
+    """
     listed = read_manifest(spark, root)
     listed = listed if only is None else listed.join(only.select("partition"), "partition", "left_semi")
+    listed = listed if where is None else _meets(listed, schema, where)
     paths = sorted(_guarded(root, r["path"]) for r in listed.select("path").toLocalIterator())
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return rows if where is None else rows.filter(where)
 
 
 def footer_counts(spark: SparkSession, root: str) -> DataFrame:

@@ -11,7 +11,9 @@ from __future__ import annotations
 import datetime
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from hashlib import blake2b
+from math import prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -158,10 +160,32 @@ def _date(f: Feistel, m: re.Match) -> str | None:
 
 def _email(f: Feistel, m: re.Match) -> str | None:
     local = m["local"]
-    letters = re.sub(r"[^a-z]", "", local.lower())
-    it, at = iter(_letters(f, letters)), iter(f.digits(re.sub(r"\D", "", local), 10, "email-digits"))
+    letters = re.sub(r"[^a-z]", "", re.sub(r"[A-Z]", lambda c: c[0].lower(), local))
+    it, at = iter(_letters(f, letters)), iter(f.digits(re.sub(r"[^0-9]", "", local), 10, "email-digits"))
+    wide = iter(_wide_letters(f, [c for c in local if c > "\x7f" and c.isalpha()]))
     out = re.sub(r"[a-z]|[A-Z]|[0-9]", lambda c: next(at) if c[0].isdigit() else next(it).upper() if c[0].isupper() else next(it), local)
-    return out + m[0][len(local) :]
+    return "".join(next(wide) if c > "\x7f" and c.isalpha() else c for c in out) + m[0][len(local) :]
+
+
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """The letters of c's case in its block of 128 code points."""
+    first = ord(c) // 128 * 128
+    return "".join(x for x in map(chr, range(first, first + 128)) if x.isalpha() and (x.isupper(), x.islower()) == (c.isupper(), c.islower()))
+
+
+def _wide_letters(f: Feistel, letters: list[str]) -> list[str]:
+    """Letters beyond ASCII, replaced together by others of their alphabets: one to one on all texts of these alphabets."""
+    alphabets, half = [_alphabet(c) for c in letters], len(letters) // 2
+    n = 0
+    for c, alphabet in zip(letters, alphabets):
+        n = n * len(alphabet) + alphabet.index(c)
+    n = f.permute(n, prod(map(len, alphabets[:half])), prod(map(len, alphabets[half:])), "email-wide" + "".join(a[0] for a in alphabets))
+    out = []
+    for alphabet in reversed(alphabets):
+        n, k = divmod(n, len(alphabet))
+        out.append(alphabet[k])
+    return out[::-1]
 
 
 def _letters(f: Feistel, text: str) -> str:
@@ -194,7 +218,7 @@ def _cased(text: str) -> str:
 
 #: Tried in this order; what one kind has replaced, later kinds don't see.
 KINDS: tuple[tuple[str, re.Pattern, Callable], ...] = (
-    ("email", re.compile(r"(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
+    ("email", re.compile(r"(?P<local>[A-Za-z0-9\u00C0-\u024F\u0370-\u052F][A-Za-z0-9\u00C0-\u024F\u0300-\u052F._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), _email),
     ("secret", re.compile(r"(?P<lead>\b(?:token|secret|api[_-]?key|password)\s*[=:]\s*[\"']?)(?P<hex>[0-9a-f]{16,})(?![0-9a-zA-Z])", re.I), _secret),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"), _iban),
     ("card", re.compile(r"(?<![\w.+])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w.-]*\d)|(?<![\w.+])3\d{3}[ -]?\d{6}[ -]?\d{5}(?!\w)"), _card),

@@ -417,6 +417,22 @@ def test_pseudonyms_of_values_in_context(kind, text, value):
     assert kind == "phone" or re.sub(r"\d", "", again) == re.sub(r"\d", "", value)
 
 
+def test_pseudonyms_of_local_parts_beyond_ascii():
+    """No letter or digit of a local part stays by rule; different local parts stay different, equal ones equal."""
+    feistel = Feistel(b"k")
+    for address in ("müller@example.com", "Ärger.Nr7@mail.example.org", "иван.петров@example.com", "Γιώργος99@example.com", "mu\u0308ller@example.com", "é@example.com"):
+        new, found = pseudonymize(f"to {address}, thanks", feistel)
+        assert [(k, v) for k, v, _ in found] == [("email", address)]
+        local, made = address.split("@")[0], found[0][2].split("@")[0]
+        assert new == f"to {found[0][2]}, thanks" and found[0][2].endswith(address[len(local) :]) and len(made) == len(local)
+        assert all((x.isalpha(), x.isdigit(), x.isupper()) == (y.isalpha(), y.isdigit(), y.isupper()) for x, y in zip(local, made))
+        assert made != local and pseudonymize(address, feistel)[0] == found[0][2]
+    assert pseudonymize("写信user@example.com", feistel)[1][0][1] == "user@example.com"
+    letters = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha()]
+    addresses = [f"{a}{b}@example.com" for a in letters for b in letters]
+    assert len({pseudonymize(a, feistel)[0] for a in addresses}) == len(addresses)
+
+
 def test_pseudonyms_of_random_texts():
     """Every planted valid value of each kind is found, whole and alone; invalid ones and plain prose are left; formats stay."""
     rng = random.Random(6)

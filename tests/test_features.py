@@ -5,7 +5,8 @@ import statistics
 
 import pytest
 
-from tapewright.functions.features import catalog_fingerprint, check_catalog, feature_names
+from tapewright.functions.features import catalog_fingerprint, check_catalog, feature_names, window_clause
+from tapewright.operators.frames import in_order, with_calls
 from tapewright.operators.recurrences import exponential_average, wilder_rsi
 from tapewright.plans.feature_view import features, market_rows
 
@@ -250,3 +251,22 @@ def test_ema_resets():
     got = exponential_average([1, 2, 3, 4, -1, 5, 6, 7], 3)
     assert [None if math.isnan(x) else x for x in got] == [None, None, 2.0, 3.0, None, None, None, 6.0]
     assert exponential_average([-1.0, -2.0], 2, any_sign=True)[1] == -1.5
+
+
+def test_frames_over_batches_and_instruments(spark):
+    """Rows of many instruments that straddle Arrow batches, with nulls: as Spark's own windows have them."""
+    calls = {"s": "sum(p) OVER w3", "n": "count(p) OVER w3", "m": "min(p) OVER before20", "d": "stddev_samp(p) OVER w3", "x": "regr_sxy(p, v) OVER w4", "b": "lag(p, 2) OVER w"}
+    rows = spark.range(0, 900).selectExpr("'D' AS isin", "'X' AS exchange", "CAST(id % 7 * id % 11 AS STRING) AS code", "date_add(DATE '2026-01-01', CAST(id AS INT)) AS trade_date", "CASE WHEN id % 13 <> 0 THEN CAST(id * 37 % 101 AS DOUBLE) END AS p", "CAST(id * 17 % 29 AS DOUBLE) AS v")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        got = with_calls(in_order(rows), calls).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    full = {"s": ("p IS NOT NULL", "w3", 3), "m": ("p IS NOT NULL", "before20", 20), "d": ("p IS NOT NULL", "w3", 3), "x": ("p IS NOT NULL", "w4", 4)}
+    text = ", ".join(f"CASE WHEN count(CASE WHEN {full[n][0]} THEN 1 END) OVER {full[n][1]} = {full[n][2]} THEN {c} END AS {n}" if n in full else f"{c} AS {n}" for n, c in calls.items())
+    want = spark.sql(f"SELECT *, {text} FROM {{rows}} {window_clause()}", rows=rows).collect()
+    named = lambda rs: {r.trade_date: [r[n] for n in calls] for r in rs}
+    got, want = named(got), named(want)
+    assert got.keys() == want.keys() and len(got) == 900
+    for day, values in want.items():
+        assert got[day] == [v if v is None else pytest.approx(v, abs=1e-9) for v in values]

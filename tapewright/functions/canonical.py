@@ -28,7 +28,7 @@ def canonical_decimal(c: Column) -> Column:
     """Plain digits without trailing zeros, exponent or negative zero."""
     text = c.cast("decimal(38,18)").cast("string")
     text = F.when(c == 0, F.lit("0")).otherwise(text)
-    short = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    short = F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
     return F.when(short.isin("-0", ""), F.lit("0")).otherwise(short)
 
 

@@ -91,5 +91,10 @@ def _null_beside(pairs: Column, names: Sequence[str]) -> Column:
 
 
 def _numbers(a: Column, b: Column) -> Column:
-    x, y = (number_key(v.cast("string")) for v in (a, b))
-    return F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise((a.cast("string") == b.cast("string")) & a.cast("string").endswith("Infinity"))
+    """Whether both are the same number. Short plain ones, nearly all there are, are exact as decimals; others go by number_key."""
+    s, t = a.cast("string"), b.cast("string")
+    plain = lambda x: (F.length(x) <= 18) & (F.translate(x, "0123456789.-", "") == "")
+    same = F.coalesce(s.try_cast("decimal(38,18)") == t.try_cast("decimal(38,18)"), F.lit(False))
+    x, y = number_key(s), number_key(t)
+    exact = F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise((s == t) & s.endswith("Infinity"))
+    return F.when(plain(s) & plain(t), same).otherwise(exact)

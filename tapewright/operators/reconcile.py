@@ -6,10 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.canonical import AUDIT, canonical_decimal, canonical_json, entity_key, overlap_start, row_digest
 from .normalize import IDENTITY
 
+#: Types of which two values are equal if and only if their JSON is.
+_EXACT = (T.StringType, T.IntegralType, T.DateType, T.DecimalType, T.BooleanType)
+
 
 def _same(columns: Sequence[str], left: str = "a", right: str = "b") -> Column:
     """True where all columns are equal, nulls to nulls."""
@@ -154,9 +158,15 @@ def missing_rows(expected: DataFrame, actual: DataFrame, numeric: Sequence[str]
     """One row: how many rows, counted with repeats, the actual table lacks. Columns in numeric are compared as numbers, also where they are text."""
     number = {c: canonical_decimal(F.col(c).try_cast("decimal(38,18)")) for c in numeric}
     expected, actual = expected.withColumns(number), actual.withColumns(number)
-    count = lambda df, n: df.groupBy(canonical_json(df.columns).alias("row")).agg(F.count("*").alias(n))
-    both = count(expected, "want").join(count(actual, "have"), "row", "left")
-    return both.agg(F.coalesce(F.sum(F.greatest(F.col("want") - F.coalesce("have", F.lit(0)), F.lit(0))), F.lit(0)).cast("long").alias("missing"))
+    kinds = [{f.name: f.dataType for f in df.schema.fields} for df in (expected, actual)]
+    by = [canonical_json(df.columns).alias("row") for df in (expected, actual)]
+    if kinds[0] == kinds[1] and all(isinstance(t, _EXACT) for t in kinds[0].values()):
+        rows = [df.select(*sorted(kinds[0])) for df in (expected, actual)]  # their values are as equal as their texts
+    else:
+        rows = [df.select(text) for df, text in zip((expected, actual), by)]
+    both = rows[0].withColumn("_more", F.lit(1)).union(rows[1].withColumn("_more", F.lit(-1)))
+    lacking = both.groupBy(*rows[0].columns).agg(F.sum("_more").alias("_more"))
+    return lacking.agg(F.coalesce(F.sum(F.greatest("_more", F.lit(0))), F.lit(0)).cast("long").alias("missing"))
 
 
 def latest_per(rows: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -152,3 +152,13 @@ def test_mutation_counts(spark):
     assert tuple(mutation_counts(a, b, ["k"], "status").first()) == (1, 2, 1, 2, 6)
     assert tuple(mutation_counts(a, b, ["k"]).first()) == (2, 3, 1, 0, 6)
     assert tuple(mutation_counts(a.limit(0), b.limit(0), ["k"]).first()) == (0, 0, 0, 0, 0)
+
+
+def test_missing_rows_by_values_and_by_text(spark):
+    """Columns of exact types are counted by their values, with nulls and repeats; others by their JSON."""
+    for kind in ("int", "double"):
+        a = spark.createDataFrame([(1, "x"), (1, "x"), (None, None), (None, None), (2, "y")], "n int, t string").withColumn("n", F.col("n").cast(kind))
+        b = spark.createDataFrame([("x", 1), (None, None), ("null", None), ("y", 3)], "t string, n int").withColumn("n", F.col("n").cast(kind))
+        found = missing_rows(a, b)
+        assert found.first().missing == 3
+        assert ("to_json" in found._jdf.queryExecution().analyzed().toString()) == (kind == "double")

@@ -124,6 +124,16 @@ def test_standardize(spark):
         standardize(rows.withColumn("x", F.when(F.col("k") == 4, float("inf")).otherwise(F.col("x"))), ["x"]).collect()
 
 
+def test_equal_values_do_not_vary_in_any_partitions(spark):
+    """The mean of 49 fours, merged from a partition, isn't 4.0."""
+    rows = spark.range(0, 99, 1, 2).select("id", F.lit("train").alias("split"), F.lit(4.0).alias("flat"), F.lit(float("nan")).alias("bad"))
+    stats = fold_statistics(rows, ["flat"]).first()
+    assert (stats.flat_std, stats.flat_zero_variance) == (0.0, True)
+    assert [r.flat for r in standardize(rows, ["flat"]).select("flat").distinct().collect()] == [None]
+    with pytest.raises(Exception, match="not finite"):
+        standardize(rows, ["bad"]).collect()
+
+
 def test_control_characters_in_json(spark):
     """All 32, and text that only looks like an escape, are written as Python writes them."""
     texts = [chr(c) for c in range(32)] + ["\x0b\x0b\x1f", "\\u000B", "\\\x0b", "\\\\u001A", "a\x7f\u2028"]

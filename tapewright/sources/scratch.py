@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
@@ -17,3 +17,8 @@ def scratch_path(spark: SparkSession, what: str) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="tapewright-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def tasks_for(rows: DataFrame, most: int = 500_000) -> int:
+    """Into how many partitions to deal stored rows so that each gets about so many, the session's number at least. The count reads footers only."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // most))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewright.operators import history as H
+from tapewright.sources.scratch import tasks_for
 
 DAY = datetime.date
 ID = "isin string, exchange string, code string"
@@ -63,6 +64,18 @@ def test_folds_cover_exactly(spark):
     assert H.source_fingerprint(rows, ["k"], ["x"]).first() == H.source_fingerprint(rows.orderBy(F.desc("k")), ["k"], ["x"]).first()
 
 
+def test_folds_stay_where_their_rows_were_dealt(spark, tmp_path):
+    """The number of partitions follows the rows, and the join with a fold does not make fewer."""
+    path = f"file://{tmp_path}/rows"
+    spark.range(1000).selectExpr("id AS k").write.parquet(path)
+    held = spark.read.parquet(path)
+    assert tasks_for(held, 100) == 10 and tasks_for(held) == 4
+    rows = held.repartition(tasks_for(held, 100), "k").distinct()
+    fold = rows.withColumn("split", F.when(F.col("k") % 2 == 0, "train").otherwise("test"))
+    split = H.split_rows(rows, fold, ["k"])
+    assert split.rdd.getNumPartitions() == 10 and split.count() == 1000
+
+
 def test_bronze_rows(spark):
     schema = f"{ID}, date date, price int, seq int"
     row = lambda c, d, p, n: ("I", "X", c, d and DAY(2026, 1, d), p, n)

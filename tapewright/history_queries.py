@@ -17,7 +17,7 @@ from .operators.normalize import IDENTITY, normalize_dividends, normalize_listin
 from .operators.reconcile import fingerprint, missing_rows
 from .operators.standardize import standardize_fold
 from .sources.market_tables import QUOTES_SQL, quotes, table
-from .sources.scratch import tasks_for
+from .sources.scratch import tasks_for, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -219,11 +219,11 @@ def bronze_listings(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("bronze_quote_merge", f"WITH {_Q}, i AS (SELECT {_KEYS}, volume + 1 AS volume FROM q WHERE {_DAY} % 5 = 0 UNION ALL SELECT {_KEYS}, volume + 2 FROM q WHERE {_DAY} % 10 = 0 UNION ALL SELECT isin, exchange, code, CAST(trade_date + 4000 AS DATE), volume FROM q WHERE {_DAY} % 3 = 0) SELECT {_KEYS}, max(volume) AS volume FROM i GROUP BY {_KEYS} UNION ALL SELECT {_KEYS}, volume FROM q WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.isin = q.isin AND i.exchange = q.exchange AND i.code = q.code AND i.trade_date = q.trade_date)")
 def bronze_quote_merge(spark: SparkSession, d: str) -> DataFrame:
-    stored = quotes(spark, d).select(*IDENTITY, F.col("trade_date").alias("date"), "volume", F.lit(0).alias("seq"))
+    stored = written(quotes(spark, d).select(*IDENTITY, F.col("trade_date").alias("date"), "volume"), "bronze-quotes").withColumn("seq", F.lit(0))
     later = lambda by, rows, seq: rows.withColumn("volume", F.col("volume") + by).withColumn("seq", F.lit(seq))
     day = _DAY.replace("trade_date", "date")
     incoming = later(2, stored.filter(f"{day} % 10 = 0"), 2).union(later(1, stored.filter(f"{day} % 5 = 0"), 1)).union(stored.filter(f"{day} % 3 = 0").withColumn("date", F.date_add("date", 4000)))
-    return merge_bronze_quotes(stored, incoming, "seq").select(*IDENTITY, F.col("date").alias("trade_date"), "volume")
+    return merge_bronze_quotes(stored, incoming, "seq", tasks_for(stored)).select(*IDENTITY, F.col("date").alias("trade_date"), "volume")
 
 
 @_query("bronze_action_replace", f"WITH {_WINDOWS}, i AS (SELECT * FROM p WHERE event_date >= DATE '1996-01-01') SELECT isin, event_key FROM i UNION ALL SELECT isin, event_key FROM p WHERE isin NOT IN (SELECT isin FROM i)")

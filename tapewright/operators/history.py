@@ -128,9 +128,13 @@ def keys_sorted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.orderBy(*keys)
 
 
-def merge_bronze_quotes(stored: DataFrame, incoming: DataFrame, order: str) -> DataFrame:
-    """Stored raw quotes with the incoming ones laid over them by instrument and date; the last of `order` wins. Rows without a date go."""
+def merge_bronze_quotes(stored: DataFrame, incoming: DataFrame, order: str, tasks: int | None = None) -> DataFrame:
+    """Stored raw quotes with the incoming ones laid over them by instrument and date; the last of `order` wins. Rows without a date go.
+
+    tasks: into how many partitions the rows are dealt; the session's number by default.
+    """
     rows = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1))).filter("date IS NOT NULL")
+    rows = rows.repartition(tasks, *IDENTITY, "date") if tasks else rows
     last = F.row_number().over(Window.partitionBy(*IDENTITY, "date").orderBy(F.desc("_new"), F.desc(order), F.desc(canonical_json(stored.columns))))
     return rows.withColumn("_n", last).filter("_n = 1").drop("_n", "_new")
 

@@ -19,6 +19,13 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{found.rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
 
 
+def written(rows: DataFrame, what: str) -> DataFrame:
+    """The rows, written once: for rows that several branches or jobs read, or whose order is sampled first."""
+    path = scratch_path(rows.sparkSession, what)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def tasks_for(rows: DataFrame, most: int = 500_000) -> int:
     """Into how many partitions to deal stored rows so that each gets about so many, the session's number at least. The count reads footers only."""
     return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // most))

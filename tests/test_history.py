@@ -65,7 +65,7 @@ def test_folds_cover_exactly(spark):
 
 
 def test_folds_stay_where_their_rows_were_dealt(spark, tmp_path):
-    """The number of partitions follows the rows, and the join with a fold does not make fewer."""
+    """The number of partitions follows the rows, and neither the join with a fold nor a raw merge makes fewer."""
     path = f"file://{tmp_path}/rows"
     spark.range(1000).selectExpr("id AS k").write.parquet(path)
     held = spark.read.parquet(path)
@@ -74,6 +74,9 @@ def test_folds_stay_where_their_rows_were_dealt(spark, tmp_path):
     fold = rows.withColumn("split", F.when(F.col("k") % 2 == 0, "train").otherwise("test"))
     split = H.split_rows(rows, fold, ["k"])
     assert split.rdd.getNumPartitions() == 10 and split.count() == 1000
+    old = spark.range(50).selectExpr("'I' AS isin", "'X' AS exchange", "'C' AS code", "date_add(DATE '2026-01-01', CAST(id AS INT)) AS date", "0 AS seq")
+    merged = H.merge_bronze_quotes(old, old.withColumn("seq", F.lit(1)).filter("day(date) > 15"), "seq", 9)
+    assert merged.rdd.getNumPartitions() == 9 and merged.count() == 50 and merged.filter("seq = 1 AND day(date) > 15").count() == merged.filter("day(date) > 15").count()
 
 
 def test_bronze_rows(spark):

@@ -12,7 +12,7 @@ from .operators.normalize import IDENTITY
 from .operators.ordering import enveloped_fingerprint, fingerprint_ranges, order_state
 from .sources.lake import FOLDER, publish, read_dataset, read_manifest
 from .sources.market_tables import QUOTES_SQL, quotes, table
-from .sources.scratch import scratch_path
+from .sources.scratch import scratch_path, written
 from .sources.sinks import sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,7 +128,7 @@ _PRINT = lambda name: f"(SELECT sha256(string_agg(d, ',' ORDER BY g)) FROM {name
 {_ranges_sql('a1', 'a', 'key')}, {_ranges_sql('a2', '(SELECT g AS o, key, n, d FROM a1)', 'o')}, {_ranges_sql('r1', 'r', 'key')}, {_ranges_sql('r2', '(SELECT g AS o, key, n, d FROM r1)', 'o')}
 SELECT (SELECT count(*) FROM a) AS row_count, (SELECT count(*) FROM r) AS retracted_count, sha256('{{"retracted":"' || {_PRINT('r')} || '","rows":"' || {_PRINT('a')} || '"}}') AS fingerprint""")
 def enveloped_fingerprint_row(spark: SparkSession, d: str) -> DataFrame:
-    rows = quotes(spark, d).select(*IDENTITY, "trade_date", "volume")
+    rows = written(quotes(spark, d).select(*IDENTITY, "trade_date", "volume"), "enveloped-quotes")
     keys = [*IDENTITY, "trade_date"]
     return enveloped_fingerprint(rows.filter("volume % 9 <> 0"), rows.filter("volume % 9 = 0"), keys, keys)
 

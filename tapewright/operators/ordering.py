@@ -122,8 +122,8 @@ def read_sidecar(spark: SparkSession, path: str, schema: T.StructType | str, key
 _LINK = "part int, seq int, opens boolean, closed boolean, first string, last string, n long, d string"
 
 
-def _linked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """part, seq, first, last, n and d of each range of rows (order, first, last, n, d): d is the digest of its rows' in their order.
+def _linked(rows: DataFrame) -> DataFrame:
+    """part, seq, first, last, n and d of each range of sorted rows (first, last, n, d): d is the digest of its rows' in their order.
 
     A range begins at a row whose d begins with RANGE_MARK, so a change moves no other range's ends. Ranges inside one
     sorted partition are hashed there. The pieces at a partition's ends are kept as text and joined afterwards: two per
@@ -162,7 +162,7 @@ def _linked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
             yield told(False)
 
     path = scratch_path(spark, "ranges")
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).select("first", "last", "n", "d").mapInArrow(run, _LINK).write.parquet(path)
+    rows.select("first", "last", "n", "d").mapInArrow(run, _LINK).write.parquet(path)
     links = spark.read.schema(_LINK).parquet(path)
     group = F.sum(F.col("opens").cast("int")).over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, 0))  # two rows per partition
     pieces = links.filter("NOT closed").withColumn("_group", group).groupBy("_group").agg(F.array_sort(F.collect_list(F.struct("part", "seq", "first", "last", "n", "d"))).alias("p"))
@@ -172,9 +172,15 @@ def _linked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return links.filter("closed").select(*joined.columns).unionByName(joined)
 
 
+def _ordered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _rows_of(rows: DataFrame, order: Sequence[str], values: Sequence[str] | None) -> DataFrame:
-    key = entity_key(order)
-    return rows.select(*[F.col(o).alias(f"_{k}") for k, o in enumerate(order)], key.alias("first"), key.alias("last"), F.lit(1).cast("long").alias("n"), row_digest(list(values or rows.columns)).alias("d"))
+    """Sorted as they are; keys and digests, which are longer, are made afterwards, and not for the sample that the ranges are cut by."""
+    names, key = list(values or rows.columns), entity_key(order)
+    held = _ordered(rows.select(*dict.fromkeys([*order, *names])), order)
+    return held.select(key.alias("first"), key.alias("last"), F.lit(1).cast("long").alias("n"), row_digest(names).alias("d"))
 
 
 def fingerprint_ranges(rows: DataFrame, order: Sequence[str], values: Sequence[str] | None = None) -> DataFrame:
@@ -183,7 +189,7 @@ def fingerprint_ranges(rows: DataFrame, order: Sequence[str], values: Sequence[s
     values: the columns that count (all by default); the order counts besides. Two states differ in the ranges that only one
     of them has. Equal keys are an error.
     """
-    linked = _linked(_rows_of(rows, order, values), [f"_{k}" for k in range(len(order))])
+    linked = _linked(_rows_of(rows, order, values))
     return linked.select(F.col("first").alias("range_start"), F.col("last").alias("range_end"), F.col("n").alias("row_count"), F.col("d").alias("range_sha256"))
 
 
@@ -192,7 +198,7 @@ def ordered_fingerprint(rows: DataFrame, order: Sequence[str], values: Sequence[
 
     Ranges of rows are hashed, then ranges of these hashes, and what is left (one in 16 million rows) is joined.
     """
-    ranges = _linked(_linked(_rows_of(rows, order, values), [f"_{k}" for k in range(len(order))]), ["part", "seq"])
+    ranges = _linked(_ordered(_linked(_rows_of(rows, order, values)), ["part", "seq"]))
     parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "seq", "d"))), lambda x: x["d"]), ",")
     return ranges.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.sha2(parts, 256).alias("fingerprint"))
 

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tapewright.operators import ordering
 from tapewright.operators import ordering
 from tapewright.operators.ordering import enveloped_fingerprint, fingerprint_ranges, order_state, ordered_fingerprint, read_sidecar, require_sorted, sorted_by
 
@@ -115,3 +116,11 @@ def test_order_and_tombstones_change_the_fingerprint(spark):
     with pytest.raises(Exception, match="unique keys"):
         ordered_fingerprint(rows.union(rows), ["b"]).collect()
     assert ordered_fingerprint(rows.limit(0), ["b"]).first().row_count == 0
+
+
+def test_rows_are_dealt_and_sorted_before_their_digests(spark):
+    """The sample that ranges are cut by, and the shuffle, hold the rows' own columns and no key or digest."""
+    rows = spark.range(100).selectExpr("id AS k", "id % 7 AS v", "id AS other")
+    plan = ordering._rows_of(rows, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    assert "sha2" in above and "sha2" not in below and "to_json" not in below and "other" not in below.splitlines()[1]

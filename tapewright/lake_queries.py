@@ -79,10 +79,10 @@ def raw_listing_sink(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "raw-listings")
     raw = table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("Code"), F.lit("XTST").alias("Exchange"), F.lit("Fund").alias("Type"))
     sink_raw_listings(raw.filter("s_suppkey % 3 <> 0").withColumn("note", F.lit("old")), root, _AT, _DAY)
-    first = read_manifest(spark, root).select("partition").collect()
+    name = F.regexp_extract("partition", "symbol=([^/]*)", 1).alias("name")
+    names = read_manifest(spark, root).select(name)  # of the first snapshot, whatever is published later
     sink_raw_listings(raw.withColumn("note", F.lit("new")), root, _AT, _DAY, skip_existing=True)
     schema = "s_suppkey bigint, Code string, note string, symbol string"
-    names = spark.createDataFrame([(r["partition"].split("symbol=")[1].split("/")[0],) for r in first], "name string")  # one row per listing
     held = read_dataset(spark, root, spark.createDataFrame([], schema).schema)
     return held.join(names.withColumn("first", F.lit(True)), F.url_encode("symbol") == F.col("name"), "left").select("s_suppkey", "note", F.coalesce("first", F.lit(False)).alias("first"))
 

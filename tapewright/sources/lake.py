@@ -11,11 +11,14 @@ import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.canonical import row_digest
 from ..operators.reconcile import fingerprint
 
 MANIFEST = T.StructType([
@@ -24,6 +27,8 @@ MANIFEST = T.StructType([
     T.StructField("schema", T.StringType()), T.StructField("batches", T.MapType(T.StringType(), T.LongType())),
 ])
 FOLDER = r"(data/[0-9a-f]+/_folder=[0-9a-f]+)/[^/]+$"
+#: A folder with more rows is written by several tasks.
+FOLDER_ROWS = 1_000_000
 
 
 def safe_part(value: str) -> str:
@@ -58,20 +63,42 @@ def partition_label(by: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("%null"))) for c in by])
 
 
+def folder_tasks(spark: SparkSession, folders: int, rows: int) -> int:
+    """Into how many tasks to deal the writing of so many folders. A file takes its task some milliseconds whatever it holds, so folders count beside rows."""
+    return max(1, -(-rows // 500_000), -(-folders // 500), min(spark.sparkContext.defaultParallelism, -(-folders // 20)))
+
+
+def _to_read(listed: DataFrame, root: str) -> list[str]:
+    """The paths of the listed folders. Where they are all that a publication's folder holds, its path stands for them, so a large dataset has few paths."""
+    spark = listed.sparkSession
+    top = F.substring_index("path", "/", 2)  # data and the publication
+    many = listed.groupBy(top.alias("top")).agg(F.countDistinct("path").alias("n")).filter("n > 32")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = [r["top"] for r in many.toLocalIterator() if len(fs.globStatus(path(path(_guarded(root, r["top"])), "_folder=*"))) == r["n"]]
+    single = listed.filter(~top.isin(whole)) if whole else listed
+    return sorted(_guarded(root, x) for x in [*whole, *(r["path"] for r in single.select("path").toLocalIterator())])
+
+
 def _meets(listed: DataFrame, schema: T.StructType, where: Column | str) -> DataFrame:
-    """The listed partitions whose values, spelled in their names and typed as in schema, satisfy where; those not named by the same columns stay."""
-    first = listed.select("partition").first()
-    if first is None:
-        return listed
-    by = [part.split("=", 1)[0] for part in first["partition"].split("/")]
+    """The listed partitions whose values, spelled in their names and typed as in schema, satisfy where; those named by columns that can't settle it stay."""
+    naming = F.array_sort(F.transform(F.split("partition", "/"), lambda x: F.substring_index(x, "=", 1)))
+    names = [r["names"] for r in listed.select(naming.alias("names")).distinct().collect()]  # one row for each set of columns
     kinds = {f.name: f.dataType for f in schema}
     spelled = F.str_to_map("partition", F.lit("/"), F.lit("="))
-    text = {c: F.try_element_at(spelled, F.lit(c)) for c in by}
-    values = [F.when(text[c] != "%null", F.url_decode(text[c])).cast(kinds.get(c, T.StringType())).alias(c) for c in by]
-    alike = F.array_sort(F.map_keys(spelled)) == F.array_sort(F.array(*map(F.lit, by)))
-    named = listed.select(F.struct(*listed.columns).alias("_listed"), alike.alias("_alike"), *values)
-    meets = F.expr(where) if isinstance(where, str) else where
-    return named.filter(meets | ~F.col("_alike")).select("_listed.*")
+    met, unsettled, refused = [], [], None
+    for by in names:
+        text = {c: F.try_element_at(spelled, F.lit(c)) for c in by}
+        values = [F.when(text[c] != "%null", F.url_decode(text[c])).cast(kinds.get(c, T.StringType())).alias(c) for c in by]
+        alike = listed.filter(naming == F.array(*map(F.lit, by)))
+        try:
+            met.append(alike.select(F.struct(*listed.columns).alias("_listed"), *values).filter(where).select("_listed.*"))
+        except AnalysisException as e:
+            unsettled.append(alike)
+            refused = e
+    if refused and not met:
+        raise refused
+    return reduce(DataFrame.union, met + unsettled) if names else listed
 
 
 def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: DataFrame | None = None, where: Column | str | None = None) -> DataFrame:
@@ -84,8 +111,8 @@ def read_dataset(spark: SparkSession, root: str, schema: T.StructType, only: Dat
     listed = read_manifest(spark, root)
     listed = listed if only is None else listed.join(only.select("partition"), "partition", "left_semi")
     listed = listed if where is None else _meets(listed, schema, where)
-    paths = sorted(_guarded(root, r["path"]) for r in listed.select("path").toLocalIterator())
-    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    paths = _to_read(listed, root)
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths) if paths else spark.createDataFrame([], schema)
     return rows if where is None else rows.filter(where)
 
 
@@ -123,17 +150,27 @@ def publish(
     named = rows.withColumn("_partition", partition_label(by))
     now = fingerprint(named, ["_partition"]).withColumnRenamed("_partition", "partition")
     listed = read_manifest(spark, root)
-    held = listed.join(footer_counts(spark, root), "path", "left").filter((F.col("row_count") == F.col("file_rows")) & (F.col("schema") == types))
-    old = held.select("partition", "fingerprint", F.col("row_count").alias("old_count"), F.col("path").alias("old_path"))
-    plan = now.join(old, ["partition", "fingerprint"], "left").withColumn("same", F.col("old_count").eqNullSafe(F.col("row_count")))
     versions = _versions(spark, root)
     version, staging = (versions[-1] if versions else 0) + 1, f"data/{uuid.uuid4().hex}"
     plan_path = f"{root}/plans/{uuid.uuid4().hex}"
-    plan.write.parquet(plan_path)  # one row per partition: the rows are fingerprinted once
-    plan = spark.read.schema(plan.schema).parquet(plan_path)
-    changed = plan.filter("NOT same").select(F.col("partition").alias("_partition"))
-    todo = named.join(changed, "_partition", "left_semi").withColumn("_folder", F.sha2("_partition", 256))
-    todo.drop("_partition").hint("rebalance", "_folder").write.partitionBy("_folder").option("compression", "zstd").parquet(f"{root}/{staging}")
+    now.write.parquet(plan_path)  # one row per partition: the rows are fingerprinted once
+    now = spark.read.schema(now.schema).parquet(plan_path)
+    old = listed.filter(F.col("schema") == types).select("partition", "fingerprint", "row_count", F.col("path").alias("old_path"))
+    alike = now.join(old, ["partition", "fingerprint", "row_count"])
+    if alike.isEmpty():  # no footer has to be read
+        plan = now.withColumn("old_path", F.lit(None).cast("string"))
+    else:
+        there = footer_counts(spark, root).withColumnsRenamed({"path": "old_path", "file_rows": "row_count"})
+        plan = now.join(alike.join(there, ["old_path", "row_count"]).select("partition", "old_path"), "partition", "left")
+    plan = plan.withColumn("same", F.col("old_path").isNotNull())
+    plan.write.parquet(f"{plan_path}-kept")
+    plan = spark.read.schema(plan.schema).parquet(f"{plan_path}-kept")
+    changed = plan.filter("NOT same").select(F.col("partition").alias("_partition"), F.ceil(F.col("row_count") / FOLDER_ROWS).alias("_parts"))
+    todo = named.join(changed, "_partition").withColumn("_folder", F.sha2("_partition", 256))
+    todo = todo.withColumn("_part", F.when(F.col("_parts") > 1, F.crc32(row_digest(rows.columns)) % F.col("_parts")).otherwise(0))
+    n = plan.filter("NOT same").agg(F.count("*").alias("folders"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first()
+    dealt = todo.repartition(folder_tasks(spark, n["folders"], n["rows"]), "_folder", "_part")
+    dealt.drop("_partition", "_parts", "_part").write.partitionBy("_folder").option("compression", "zstd").parquet(f"{root}/{staging}")
     folder = F.concat(F.lit(f"{staging}/_folder="), F.sha2("partition", 256))
     manifest = plan.select("partition", F.when(F.col("same"), F.col("old_path")).otherwise(folder).alias("path"), "row_count", "fingerprint", F.lit(types).alias("schema"))
     if partial:
@@ -144,18 +181,18 @@ def publish(
     batches = F.create_map(*[x for k, v in sorted(seen.items()) for x in (F.lit(k), F.lit(v).cast("long"))]) if seen else F.lit(None)
     manifest = manifest.select(F.lit(version).cast("long").alias("version"), F.lit(published_at).alias("published_at_utc"), *manifest.columns, batches.cast("map<string,bigint>").alias("batches"))
     manifest.coalesce(1).write.option("compression", "zstd").parquet(f"{root}/manifests/{version:010d}")
-    where = spark._jvm.org.apache.hadoop.fs.Path(plan_path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    return read_manifest(spark, root).filter(F.col("path").startswith(staging)).count()
+    for where in map(spark._jvm.org.apache.hadoop.fs.Path, (plan_path, f"{plan_path}-kept")):
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return n["folders"]
 
 
 def verify(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """One row per listed partition: whether its rows still have the manifest's count and fingerprint. One job reads all folders."""
     listed = read_manifest(spark, root)
-    paths = sorted(_guarded(root, r["path"]) for r in listed.select("path").toLocalIterator())
+    paths = _to_read(listed, root)
     if not paths:
         return spark.createDataFrame([], "partition string, valid boolean")
-    rows = spark.read.schema(schema).parquet(*paths)
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
     placed = rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1).alias("path"))
     found = fingerprint(placed, ["path"]).select("path", F.col("row_count").alias("_rows"), F.col("fingerprint").alias("_print"))
     valid = F.coalesce((F.col("row_count") == F.col("_rows")) & (F.col("fingerprint") == F.col("_print")), F.lit(False))

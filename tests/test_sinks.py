@@ -97,6 +97,28 @@ def test_a_stream_that_repeats_its_last_batch(spark, tmp_path):
     assert len(os.listdir(tmp_path / "lake/manifests")) == 1 and last_batch(spark, root, str(check)) == 0
 
 
+def test_many_small_partitions_are_written_by_several_tasks_and_read_by_few_paths(spark, tmp_path):
+    root = f"file://{tmp_path}/lake"
+    rows = spark.range(100).select(F.concat(F.lit("P"), "id").alias("code"), F.col("id").alias("v"))
+    assert publish(rows, root, ["code"], AT) == 100
+    assert len({p.split("part-")[1][:5] for p in glob.glob(str(tmp_path / "lake/data/*/*/*.parquet"))}) > 1  # one task for a hundred files before
+    held = read_dataset(spark, root, rows.schema)
+    assert "1 paths" in held._jdf.queryExecution().executedPlan().toString() and sorted(r.v for r in held.collect()) == list(range(100))
+    assert publish(rows.filter("v = 7").withColumn("v", F.lit(-7).cast("long")), root, ["code"], AT, partial=True) == 1
+    held = read_dataset(spark, root, rows.schema)  # a folder of the first publication is out of date: the others by themselves
+    assert "100 paths" in held._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in held.collect()) == sorted({*range(100), -7} - {7})
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tapewright.sources.lake.FOLDER_ROWS", 100)
+    root, rows = f"file://{tmp_path}/lake", spark.range(1000).withColumn("code", F.lit("A"))
+    monkeypatch.setattr("tapewright.sources.lake.folder_tasks", lambda *_: 8)
+    assert publish(rows, root, ["code"], AT) == 1
+    assert len(glob.glob(str(tmp_path / "lake/data/*/*/*.parquet"))) > 1 and read_dataset(spark, root, rows.schema).distinct().count() == 1000
+    assert publish(rows, root, ["code"], AT) == 0
+
+
 def test_gold_files_are_written_once(spark, tmp_path):
     root = f"file://{tmp_path}/gold"
     rows = spark.createDataFrame([("I1", "X", "A b+c/%", 1), ("I1", "X", "A b+c/%", 2), ("I2", "X/Y", "B", 3)], "isin string, exchange string, code string, v int")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.history import gold_artifacts, listing_partitions, merge_bronze_quotes
 from ..operators.normalize import IDENTITY
-from .lake import partition_label, publish, read_dataset, read_manifest, safe_part
+from .lake import folder_tasks, partition_label, publish, read_dataset, read_manifest, safe_part
 
 RAW_BY = (*IDENTITY, "month")
 LISTING_BY = ("partition_exchange", "partition_type", "symbol", "timeframe", "month")
@@ -74,8 +74,9 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
     if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
         return spark.createDataFrame([], "file string, file_rows long")
     files = spark.read.schema(T.StructType()).option("recursiveFileLookup", True).parquet(root)
-    name = F.url_decode(F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1))  # names hold no plus sign
-    return files.select(name.alias("file")).groupBy("file").agg(F.count("*").alias("file_rows"))
+    by_path = files.select("_metadata.file_path").groupBy("file_path").agg(F.count("*").alias("file_rows"))  # paths are taken apart once for each file
+    name = F.url_decode(F.regexp_extract("file_path", r"([^/]+/[^/]+)$", 1))  # names hold no plus sign
+    return by_path.select(name.alias("file"), "file_rows")
 
 
 def _name(value: Column | str) -> Column:
@@ -95,21 +96,29 @@ def sink_gold(rows: DataFrame, root: str, feature_hash: str) -> DataFrame:
     rows = rows.withColumn("code", F.coalesce(named, F.raise_error(F.lit("a row has no exchange or code"))))
     folder = F.concat(F.lit("exchange="), _name("exchange"), F.lit("/"))
     found = gold_artifacts(rows, feature_hash).withColumn("file", F.concat(folder, _name("file")))
-    plan = found.join(_files(spark, root), "file", "left").withColumn("written", ~F.col("row_count").eqNullSafe(F.col("file_rows"))).drop("file_rows")
+    hidden = F.col("file").rlike("/[_.][^/]*$")  # which a listing leaves out
+    plan = found.join(_files(spark, root), "file", "left").withColumn("written", ~F.col("row_count").eqNullSafe(F.col("file_rows")))
+    plan = plan.withColumn("_replaces", F.col("file_rows").isNotNull() | hidden).drop("file_rows")
     staging = f"{root}-staging-{uuid.uuid4().hex}"
     plan.write.parquet(f"{staging}/plan")
     plan = spark.read.schema(plan.schema).parquet(f"{staging}/plan")
-    todo = rows.join(plan.filter("written").select("exchange", "code", F.sha2("file", 256).alias("_folder")), ["exchange", "code"])
-    todo.repartition("_folder").sortWithinPartitions("_folder", *rows.columns).write.partitionBy("_folder").option("compression", "zstd").parquet(f"{staging}/data")
+    new = plan.filter("written").withColumn("_folder", F.sha2("file", 256))
+    n = new.agg(F.count("*").alias("files"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first()
+    todo = rows.join(new.select("exchange", "code", "_folder"), ["exchange", "code"]).repartition(folder_tasks(spark, n["files"], n["rows"]), "_folder")
+    todo.sortWithinPartitions("_folder", *rows.columns).write.partitionBy("_folder").option("compression", "zstd").parquet(f"{staging}/data")
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     made = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{staging}/data").select("path")
-    done = made.select("path", F.regexp_extract("path", "/_folder=([0-9a-f]+)/", 1).alias("folder")).join(plan.select("file", F.sha2("file", 256).alias("folder")), "folder")
-    for r in done.select("path", "file").toLocalIterator():
-        to = path("/".join([root, *map(safe_part, r["file"].split("/"))]))
-        fs.mkdirs(to.getParent())
-        fs.delete(to, False)
+    done = made.select("path", F.regexp_extract("path", "/_folder=([0-9a-f]+)/", 1).alias("_folder")).join(new.select("file", "_folder", "_replaces"), "_folder")
+    below = lambda name: path("/".join([root, *map(safe_part, name.split("/"))]))
+    for r in new.select(F.substring_index("file", "/", 1).alias("folder")).distinct().toLocalIterator():  # one row per exchange
+        fs.mkdirs(below(r["folder"]))
+    dealt = done.select("path", "file", "_replaces").repartition(folder_tasks(spark, 0, 10 * n["files"]))  # the iterator runs a job for each part
+    for r in dealt.toLocalIterator():
+        to = below(r["file"])
+        if r["_replaces"]:
+            fs.delete(to, False)
         if not fs.rename(path(r["path"]), to):
             raise OSError(f"can't move a file to {to}")
     fs.delete(path(f"{staging}/data"), True)
-    return plan
+    return plan.drop("_replaces")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewright.sources.lake import footer_counts, last_batch, publish, read_dataset, read_manifest
-from tapewright.sources.sinks import sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
+from tapewright.sources.sinks import _files, sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
 from tapewright.streaming.overlap import publish_stream
 
 AT, DAY = datetime.datetime(2026, 9, 1), datetime.date(2026, 9, 1)
@@ -131,3 +131,15 @@ def test_gold_files_are_written_once(spark, tmp_path):
     assert len(names()) == 3 and sorted(r.v for r in spark.read.option("recursiveFileLookup", True).parquet(root).collect()) == [1, 2, 3, 4]
     with pytest.raises(Exception, match="no exchange or code"):
         sink_gold(rows.withColumn("code", F.lit(" ")), root, "h")
+
+
+def test_gold_footers_are_counted_by_path_before_names_are_made(spark, tmp_path):
+    root = f"file://{tmp_path}/gold"
+    rows = spark.createDataFrame([("X", "_A", 1), ("X", "_A", 2), ("Y", "B", 3)], "exchange string, code string, v int")
+    sink_gold(rows, root, "h")
+    counted = _files(spark, root)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("regexp_extract") < plan.index("HashAggregate")  # above the aggregation: once a file, not once a row
+    assert [(r.file.split("_GOLD")[0], r.file_rows) for r in counted.collect()] == [("exchange=Y/B", 1)]
+    assert {r.code: r.written for r in sink_gold(rows, root, "h").collect()} == {"_A": True, "B": False}  # a listing leaves out _A; it is put in its own place
+    assert len(glob.glob(str(tmp_path / "gold/*/*.parquet"))) == 2

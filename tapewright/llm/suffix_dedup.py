@@ -224,16 +224,6 @@ def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> tuple[DataFram
                 columns = zip(*out) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.binary()])], names=["key", "id", "start", "n", "piece"])
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 1):
-                for id_, text, spans in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2).to_pylist()):
-                    at = [np.arange(s["start"], s["start"] + s["n"]) for s in spans or () if s["hot"]]
-                    if at:
-                        at, data = np.concatenate(at), np.frombuffer(text, np.uint8)
-                        k, k2 = (PrefixHash(d).of(at, at + length).view(np.int64) for d in (data, data ^ np.uint8(0x5A)))
-                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(k2), pa.array(np.full(len(at), id_)), pa.array(at)], names=["k", "k2", "id", "start"])
-
     # written, so that the join below has two plain sides and Spark can split the rows of a hot anchor
     hot = materialize(open_.groupBy("h").agg(F.count("*").alias("many")).filter(F.col("many") > HOT_STRETCHES).select("h", F.lit(True).alias("hot")), "hot-anchors")
     some = not hot.isEmpty()
@@ -241,7 +231,44 @@ def _gathered(texts: DataFrame, open_: DataFrame, length: int) -> tuple[DataFram
     spans = flagged.groupBy("id").agg(F.collect_list(F.struct("start", "n", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
     held = texts.join(spans, "id", "left").select("id", "text", "spans")
     pieces = held.mapInArrow(run, "key long, id long, start long, n long, piece binary")
-    return pieces, materialize(held.mapInArrow(windows, "k long, k2 long, id long, start long"), "hot-windows") if some else None
+    return pieces, materialize(_hot_windows(texts, flagged.filter("hot"), hot, length), "hot-windows") if some else None
+
+
+def _hot_windows(texts: DataFrame, open_: DataFrame, hot: DataFrame, length: int) -> DataFrame:
+    """k, k2, id, start: two hashes of each window of the open stretches of hot anchors.
+
+    The texts are read again and cut as before, so that they are not shuffled a second time: only hot stretches are. Their
+    anchors go through the driver, at most one for HOT_STRETCHES stretches.
+    """
+    anchors = np.sort(np.array([r["h"] for r in hot.select("h").collect()], np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                data, bounds = joined_bytes(part.column(1))
+                of, start, n, h, _ = all_stretches(data, bounds, length)
+                at = np.minimum(np.searchsorted(anchors, h.view(np.int64)), len(anchors) - 1)
+                pick = np.flatnonzero(anchors[at] == h.view(np.int64))
+                of, start, n = of[pick], start[pick], n[pick]
+                lead = bounds[of] + start
+                pieces = [data[x : x + k - 1 + length].tobytes() for x, k in zip(lead, n)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(of)), pa.array(start), pa.array(pieces, pa.binary())], names=["id", "start", "piece"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                data, bounds = joined_bytes(part.column(2))
+                counts = np.diff(bounds) - length + 1
+                of = np.repeat(np.arange(len(counts)), counts)
+                within = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = bounds[of] + within
+                k, k2 = (PrefixHash(d).of(at, at + length).view(np.int64) for d in (data, data ^ np.uint8(0x5A)))
+                ids, starts = (part.column(c).to_numpy() for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(k2), pa.array(ids[of]), pa.array(starts[of] + within)], names=["k", "k2", "id", "start"])
+
+    cut = texts.filter("id is not null").mapInArrow(run, "id long, start long, piece binary")
+    held = cut.join(open_.select("id", "start"), ["id", "start"], "left_semi").select("id", "start", "piece")
+    return held.mapInArrow(windows, "k long, k2 long, id long, start long")
 
 
 def _later(windows: DataFrame) -> DataFrame:

@@ -513,3 +513,17 @@ def test_suffix_dedup_gathers_no_hot_key(spark, monkeypatch):
     assert (pieces.groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= 5
     got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup.remove_repeats(texts.withColumnRenamed("id", "doc_id")).collect()}
     assert got == removed(rows, 100) and got[1][1] == 150
+
+
+def test_suffix_dedup_shuffles_texts_for_the_last_join_alone(spark, docs, monkeypatch):
+    """With hot anchors too: what they need of the texts is a hot stretch's bytes."""
+    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", 2)
+    plans, write = {}, suffix_dedup.materialize
+
+    def noted(df, what):
+        plans[what] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, what)
+
+    monkeypatch.setattr(suffix_dedup, "materialize", noted)
+    suffix_dedup.remove_repeats(docs)
+    assert "Join LeftSemi" in plans["hot-windows"] and "LeftOuter" not in plans["hot-windows"]  # of whole texts, before

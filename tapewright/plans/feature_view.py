@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,16 +98,20 @@ def features(quotes: DataFrame, families: Iterable[str] | None = None, market: b
     return out.join(F.broadcast(market_rows(quotes)), "trade_date") if market else out
 
 
-def refreshed_view(stored: DataFrame, quotes: DataFrame, changed: DataFrame, families: Iterable[str] | None = None, levels: bool = True) -> DataFrame:
+def refreshed_view(
+    stored: DataFrame, quotes: DataFrame, changed: DataFrame, families: Iterable[str] | None = None, levels: bool = True, shaped: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """A stored view after some instruments' quotes changed (as after a corporate action): their rows are computed anew, others are kept.
 
     changed: the identities. The market's columns depend on all instruments, so they are made anew for every date.
+    shaped: a change to the values (not to keys, dates or names), made to each part before they meet. Made to all columns of the whole,
+    it can give Spark a method that is too long for Java to compile, which then runs many times as slow.
     """
-    market = market_rows(quotes)
+    market = shaped(market_rows(quotes))
     keys = changed.select(*KEYS).distinct()
     own = features(quotes.join(keys, list(KEYS), "left_semi"), families, market=False, levels=levels)
     kept = stored.join(keys, list(KEYS), "left_anti").select(*own.columns)
-    return kept.unionByName(own).join(F.broadcast(market), "trade_date")  # one row per date
+    return shaped(kept).unionByName(shaped(own)).join(F.broadcast(market), "trade_date")  # one row per date
 
 
 __all__ = ["COLUMNS", "features", "market_rows", "refreshed_view", "staged"]

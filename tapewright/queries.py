@@ -94,7 +94,7 @@ def _refreshed(spark: SparkSession, d: str) -> DataFrame:
     is_changed = F.expr("CAST(substr(isin, 2) AS INT) % 4 = 0")
     old = now.withColumn("adjusted_close", F.when(is_changed, F.col("adjusted_close") * 2 + 1).otherwise(F.col("adjusted_close")))
     stored = features(old, ["returns"], levels=False)
-    return _rounded(refreshed_view(stored, now, now.filter(is_changed).select(*KEYS), ["returns"], levels=False))
+    return refreshed_view(stored, now, now.filter(is_changed).select(*KEYS), ["returns"], levels=False, shaped=_rounded)
 
 
 def _register_features() -> None:

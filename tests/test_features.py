@@ -1,14 +1,17 @@
 import datetime
 import math
 import random
+import re
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapewright.functions.features import catalog_fingerprint, check_catalog, feature_names, window_clause
 from tapewright.operators.frames import in_order, with_calls
 from tapewright.operators.recurrences import exponential_average, wilder_rsi
-from tapewright.plans.feature_view import features, market_rows
+from tapewright.plans.feature_view import features, market_rows, refreshed_view
+from tapewright.queries import QUERIES
 
 SCHEMA = "isin string, exchange string, code string, trade_date date, open double, high double, low double, close double, adjusted_close double, volume long"
 
@@ -221,6 +224,30 @@ def test_market_rows(spark):
     assert len(rows) == 40 and rows[0].breadth_daily is None and rows[4].breadth_5obs is None and rows[5].breadth_5obs is not None
 
 
+def test_refreshed_view_is_made_of_methods_that_java_compiles(spark, capsys):
+    """HotSpot interprets a method of more than 8,000 bytes for good; rounding all columns of the whole view was one of 9,919."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan isn't final, and its code not shown
+    try:
+        QUERIES["feature_view_refreshed"](spark, "/root/testdata/sf0.001").explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_refreshed_view_shapes_each_part_once(spark):
+    """A refreshed view is the view made anew, whatever the stored rows of changed instruments were, and every value is shaped once."""
+    now = spark.createDataFrame(series(40), SCHEMA)
+    old = now.withColumn("adjusted_close", F.when(F.col("code") == "BBB", F.col("adjusted_close") * 2 + 1).otherwise(F.col("adjusted_close")))
+    changed = now.filter("code = 'BBB'").select("isin", "exchange", "code")
+    more = lambda rows: rows.select(*[(F.col(c) + 1).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes])
+    stored = features(old, ["returns"], levels=False)
+    want = features(now, ["returns"], levels=False)
+    rows = lambda df: sorted((tuple(r[c] for c in want.columns) for r in df.collect()), key=lambda r: r[:4])
+    assert rows(refreshed_view(stored, now, changed, ["returns"], levels=False)) == rows(want)
+    assert rows(refreshed_view(stored, now, changed, ["returns"], levels=False, shaped=more)) == rows(more(want))
+
+
 def test_flat_prices_have_no_correlation(spark):
     flat = [(*r[:8], 100.0, r[9]) for r in series(130)[:130]]
     last = features(spark.createDataFrame(flat, SCHEMA), ["autocorr", "momentum_autocorr", "volume"]).orderBy("trade_date").collect()[-1]

@@ -1,5 +1,6 @@
 import datetime
 import math
+import os
 import random
 import re
 import statistics
@@ -13,6 +14,7 @@ from tapewright.operators.recurrences import exponential_average, wilder_rsi
 from tapewright.plans.feature_view import features, market_rows, refreshed_view
 from tapewright.queries import QUERIES
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "isin string, exchange string, code string, trade_date date, open double, high double, low double, close double, adjusted_close double, volume long"
 
 
@@ -224,11 +226,12 @@ def test_market_rows(spark):
     assert len(rows) == 40 and rows[0].breadth_daily is None and rows[4].breadth_5obs is None and rows[5].breadth_5obs is not None
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_refreshed_view_is_made_of_methods_that_java_compiles(spark, capsys):
     """HotSpot interprets a method of more than 8,000 bytes for good; rounding all columns of the whole view was one of 9,919."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan isn't final, and its code not shown
     try:
-        QUERIES["feature_view_refreshed"](spark, "/root/testdata/sf0.001").explain("codegen")
+        QUERIES["feature_view_refreshed"](spark, SF).explain("codegen")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]

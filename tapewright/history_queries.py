@@ -288,7 +288,7 @@ _BACK = {5: "cut", 7: "note", 11: "extra", 13: "tags", 17: "pair"}
 
 @_query("nested_round_trip", f"SELECT l_orderkey, l_linenumber, count(*) AS n, true AS expected, true AS actual, NOT ({' OR '.join(f'(l_orderkey + l_linenumber) % {k} = 0' for k in _BACK)}) AS same FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS l GROUP BY ALL")
 def nested_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    rows = _dealt_lines(spark, d, *_LINE_KEYS, "l_quantity").groupBy(*_LINE_KEYS).agg(F.max("l_quantity").alias("q"), F.max("l_partkey").alias("part"))
+    rows = _dealt_lines(spark, d, *_LINE_KEYS, "l_quantity", "l_partkey").groupBy(*_LINE_KEYS).agg(F.max("l_quantity").alias("q"), F.max("l_partkey").alias("part"))
     hit = {name: f"(l_orderkey + l_linenumber) % {k} = 0" for k, name in _BACK.items()}
     want = rows.selectExpr(*_LINE_KEYS, "named_struct('volume', CAST(q AS INT), 'note', CAST(NULL AS STRING), 'line', named_struct('part', part, 'tags', array(1, 2))) AS payload", "map('a', part, 'b', part + 1) AS pair")
     volume, note, extra = f"CAST(q AS INT) || CASE WHEN {hit['cut']} THEN '.7' ELSE '.0' END", f"CASE WHEN {hit['note']} THEN 'x' END", f"CASE WHEN {hit['extra']} THEN 1 END"

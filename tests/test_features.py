@@ -13,6 +13,7 @@ from tapewright.operators.frames import in_order, with_calls
 from tapewright.operators.recurrences import exponential_average, wilder_rsi
 from tapewright.plans.feature_view import features, market_rows, refreshed_view
 from tapewright.queries import QUERIES
+from tapewright.sources.market_tables import placed_quotes, quotes
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "isin string, exchange string, code string, trade_date date, open double, high double, low double, close double, adjusted_close double, volume long"
@@ -238,6 +239,31 @@ def test_refreshed_view_is_made_of_methods_that_java_compiles(spark, capsys):
     assert sizes and max(sizes) < 8000
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_the_full_view_exchanges_its_lines_once(spark):
+    """Quotes of two branches were exchanged twice each, the lines as grouped rows several times as wide as stored ones."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan isn't final
+    try:
+        plan = QUERIES["feature_view_full"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    keyed = [x.split(")")[0] for x in re.findall(r"^[ :+-]*Exchange hashpartitioning\((.*)", plan, re.M)]
+    assert [re.sub(r"#\d+L?", "", x).split(", ")[:-1] for x in keyed] in ([["isin", "code"], ["trade_date"]], [["trade_date"], ["isin", "code"]])
+    assert len(re.findall(r"^[ :+-]*ReusedExchange .*hashpartitioning\(isin", plan, re.M)) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_placed_quotes_are_the_quotes_and_lie_by_instrument_and_date(spark):
+    got = placed_quotes(spark, SF).withColumn("part", F.spark_partition_id()).collect()
+    want = quotes(spark, SF).collect()
+    columns = quotes(spark, SF).columns
+    assert sorted(tuple(r[c] for c in columns) for r in got) == sorted(tuple(r) for r in want) and [(k, x.dataType) for k, x in zip(columns, quotes(spark, SF).schema)] == [(x.name, x.dataType) for x in placed_quotes(spark, SF).schema]
+    home = {}
+    for r in got:
+        home.setdefault((r.isin, r.code), []).append((r.part, r.trade_date))
+    assert len({p for x in home.values() for p, _ in x}) > 1 and all(len({p for p, _ in x}) == 1 and x == sorted(x) for x in home.values())
+
+
 def test_refreshed_view_shapes_each_part_once(spark):
     """A refreshed view is the view made anew, whatever the stored rows of changed instruments were, and every value is shaped once."""
     now = spark.createDataFrame(series(40), SCHEMA)

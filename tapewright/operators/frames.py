@@ -27,23 +27,23 @@ def in_order(rows: DataFrame, placed: bool = False) -> DataFrame:
     return (rows if placed else rows.repartition(*KEYS)).sortWithinPartitions(*KEYS, "trade_date")
 
 
-def _starts(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+def _starts(table: pa.Table | pa.RecordBatch, keys: Sequence[str] = KEYS) -> np.ndarray:
     """For each row but the first: whether its keys differ from those above."""
     out = np.zeros(max(table.num_rows - 1, 0), dtype=bool)
-    for k in KEYS:
+    for k in keys:
         c = pc.fill_null(table.column(k), "\0")
         out |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
     return out
 
 
-def whole_instruments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def whole_instruments(batches: Iterator[pa.RecordBatch], keys: Sequence[str] = KEYS) -> Iterator[pa.Table]:
     """Rows in_order() as tables that hold each of their instruments whole; one instrument and one batch are held at a time."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         above = [held[-1].slice(held[-1].num_rows - 1)] if held else []
-        cuts = np.flatnonzero(_starts(pa.Table.from_batches([*above, batch]))) + 1 - len(above)
+        cuts = np.flatnonzero(_starts(pa.Table.from_batches([*above, batch]), keys)) + 1 - len(above)
         if len(cuts):
             yield pa.Table.from_batches([*held, batch.slice(0, cuts[-1])])
             held = [batch.slice(cuts[-1])]
@@ -53,10 +53,10 @@ def whole_instruments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def places(table: pa.Table) -> np.ndarray:
+def places(table: pa.Table, keys: Sequence[str] = KEYS) -> np.ndarray:
     """Each row's place among its instrument's, from 0."""
     at = np.arange(table.num_rows)
-    return at - np.maximum.accumulate(np.where(np.concatenate([[True], _starts(table)]), at, 0))
+    return at - np.maximum.accumulate(np.where(np.concatenate([[True], _starts(table, keys)]), at, 0))
 
 
 def _centred(frames: np.ndarray) -> np.ndarray:

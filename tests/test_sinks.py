@@ -4,11 +4,13 @@ import datetime
 import glob
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tapewright.operators.history import gold_artifacts
 from tapewright.sources.lake import footer_counts, last_batch, publish, read_dataset, read_manifest
-from tapewright.sources.sinks import _files, sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
+from tapewright.sources.sinks import _files, _place, gold_files, sink_gold, sink_raw_actions, sink_raw_listings, sink_raw_quotes
 from tapewright.streaming.overlap import publish_stream
 
 AT, DAY = datetime.datetime(2026, 9, 1), datetime.date(2026, 9, 1)
@@ -142,3 +144,47 @@ def test_gold_footers_are_counted_by_path_before_names_are_made(spark, tmp_path)
     assert [(r.file.split("_GOLD")[0], r.file_rows) for r in counted.collect()] == [("exchange=Y/B", 1)]
     assert {r.code: r.written for r in sink_gold(rows, root, "h").collect()} == {"_A": True, "B": False}  # a listing leaves out _A; it is put in its own place
     assert len(glob.glob(str(tmp_path / "gold/*/*.parquet"))) == 2
+
+
+def test_gold_names_are_those_of_gold_artifacts(spark, tmp_path):
+    """One pass in a task hashes what the grouped form does, with repeated rows, batches that cut instruments, and odd names."""
+    root = f"file://{tmp_path}/a%20b/gold"
+    code = F.concat(F.element_at(F.array(*map(F.lit, ("A", "ü~b", "x+y z", "a/b%*", "q'(!)"))), (F.col("id") % 5 + 1).cast("int")), F.lit(" "), F.col("id") % 3)
+    rows = spark.range(700).select(F.lit("X Y").alias("exchange"), code.alias("code"), F.concat(F.lit("I"), F.col("id") % 4).alias("isin"), (F.col("id") % 90).alias("v"), F.expr("IF(id % 7 = 0, NULL, id % 3 / 4)").alias("w"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        made = sink_gold(rows, root, "h 1")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    name = lambda c: F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+    want = gold_artifacts(rows, "h 1").withColumn("file", F.concat(F.lit("exchange="), name("exchange"), F.lit("/"), name("file")))
+    columns = ["exchange", "code", "row_count", "source_hash", "file"]
+    assert sorted(made.select(columns).collect()) == sorted(want.select(columns).collect())
+    assert {os.path.relpath(x, tmp_path / "a%20b/gold") for x in glob.glob(f"{tmp_path}/a[%]20b/gold/*/*")} == {r.file for r in want.collect()}
+    held = spark.read.option("recursiveFileLookup", True).parquet(root)
+    assert held.dtypes == rows.dtypes and sorted(held.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert sorted((r.exchange, r.code, f"exchange=X%20Y/{r.file_name}") for r in gold_files(spark, root).collect()) == sorted((r.exchange, r.code, r.file) for r in want.collect())
+
+
+def test_a_broken_gold_file_is_written_again(spark, tmp_path):
+    root = f"file://{tmp_path}/gold"
+    rows = spark.createDataFrame([("X", "A", 1), ("X", "B", 2), ("X", "C", 3)], "exchange string, code string, v int")
+    files = {r.code: tmp_path / "gold" / r.file for r in sink_gold(rows, root, "h").collect()}
+    files["A"].write_bytes(files["A"].read_bytes()[:-9])  # an error before, when all footers were read
+    files["B"].unlink()
+    assert {r.code: r.written for r in sink_gold(rows, root, "h").collect()} == {"A": True, "B": True, "C": False}
+    assert sorted(r.v for r in spark.read.option("recursiveFileLookup", True).parquet(root).collect()) == [1, 2, 3]
+    assert not glob.glob(f"{tmp_path}/gold-staging-*/data")
+
+
+def test_placing_gold_files_goes_on_where_a_lost_task_stopped(spark, tmp_path):
+    root = f"file://{tmp_path}/gold"
+    rows = spark.createDataFrame([("X", "A", 1), ("X", "B", 2)], "exchange string, code string, v int")
+    a, b = (r.file for r in sink_gold(rows, root, "h").orderBy("code").collect())
+    (tmp_path / "gold" / b).rename(tmp_path / "staged-b")
+    todo = pa.RecordBatch.from_pylist([{"file": f, "row_count": 1, "_replaces": False, "_staged": f"{tmp_path}/staged-{k}"} for f, k in ((a, "a"), (b, "b"))])
+    list(_place(iter([todo]), root))  # a is in place already
+    assert (tmp_path / "gold" / a).exists() and (tmp_path / "gold" / b).exists()
+    (tmp_path / "gold" / a).unlink()
+    with pytest.raises(FileNotFoundError):
+        list(_place(iter([todo]), root))
